@@ -8,9 +8,11 @@ there. `encode_column` is the pure expression form, for streams and few merges.
 
 from __future__ import annotations
 
+import json
 from typing import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -166,8 +168,6 @@ def decode_column(tokenizer: Tokenizer, tokens: Column | str = "tokens") -> Colu
 
 
 def _string_array(values: list[str]) -> Column:
-    import json
-
     return F.from_json(F.lit(json.dumps(values)), "array<string>")
 
 
@@ -204,8 +204,6 @@ def token_violations(token_docs: DataFrame) -> DataFrame:
 
 def external_encoder(encode):
     """Column encoder for an outside tokenizer's `encode(str) -> list[int]`."""
-    import pandas as pd
-
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def run(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: list(encode(t)))

@@ -21,11 +21,20 @@ def first_documents(docs: DataFrame, n: int) -> DataFrame:
     return docs.orderBy("doc_id").limit(n)
 
 
-def whole_file_samples(spark: SparkSession, path: str) -> DataFrame:
-    """One (sample, text) row per file, named by the file's stem."""
+def file_stem() -> Column:
+    return F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
+
+
+def parent_folder(key: str) -> Column:
+    """The value of a `key=value` folder in the file's path."""
+    return F.regexp_extract(F.col("_metadata.file_path"), f"{key}=([^/]+)/", 1)
+
+
+def whole_file_samples(spark: SparkSession, path: str, name: Column | None = None) -> DataFrame:
+    """One (sample, text) row per file, named by the file's stem by default."""
     files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
-    stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
-    return files.select(stem.alias("sample"), F.col("value").alias("text"))
+    name = file_stem() if name is None else name
+    return files.select(name.alias("sample"), F.col("value").alias("text"))
 
 
 def named_samples(docs: DataFrame, name: Column) -> DataFrame:
