@@ -103,6 +103,34 @@ def encode_strings(chunks: pa.Array, table: MergeRanks, specials: dict[str, int]
     return merge_rows(raw, lengths, table)
 
 
+def list_rows(column: pa.ListArray):
+    """(values, lengths) of an Arrow list<int32> column without NULLs."""
+    lengths = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    return column.flatten().to_numpy(zero_copy_only=False), lengths
+
+
+def pair_totals(values, lengths, weights, ranks, span):
+    """(key, cnt, first) of the adjacent pairs in one batch of rows.
+
+    key is left << 32 | right; cnt sums the weights of the rows, counting each
+    overlapping occurrence; first is the least rank * span + index.
+    """
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    at = np.flatnonzero(row[1:] == row[:-1])
+    if not len(at):
+        empty = np.empty(0, np.int64)
+        return empty, empty, empty
+    key = (values[at].astype(np.int64) << 32) | values[at + 1]
+    owner = row[at]
+    index = at - (np.cumsum(lengths) - lengths)[owner]
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    cnt = np.add.reduceat(weights[owner][order], starts)
+    first = np.minimum.reduceat((ranks[owner] * span + index)[order], starts)
+    return key[starts], cnt, first
+
+
 def take_rows(values: np.ndarray, lengths: np.ndarray, picks: np.ndarray):
     """Concatenate the picked rows of a ragged array."""
     starts = np.cumsum(lengths) - lengths

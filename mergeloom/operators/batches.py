@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .joins import join_bounded
 from .prefix import running
 
 
@@ -55,7 +56,7 @@ def batch_rows(pieces: DataFrame, lengths: DataFrame, B: int, T: int, world: int
     ).filter(F.size("w") == T + 1)
     served = shard_batches(lengths, B, T, world).select("split", "shard_id", "rank", "n_batches")
     return (
-        placed.join(served, ["split", "shard_id", "rank"])
+        join_bounded(placed, served, ["split", "shard_id", "rank"])
         .filter(F.col("batch_idx") < F.col("n_batches"))
         .select(
             "split", "shard_id", "batch_idx", "rank", "row",

@@ -1,6 +1,6 @@
 """Byte-pair training as Spark jobs over the chunk dictionary.
 
-State is a table (code, cnt, rank): distinct chunks as code strings, their
+State is a table (tokens, cnt, rank): distinct chunks as token arrays, their
 weight, and their position in corpus order. One job per round counts all
 adjacent pairs; the driver sees only the best few pairs and keeps the merges.
 """
@@ -8,17 +8,24 @@ adjacent pairs; the driver sees only the best few pairs and keeps the merges.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Iterator
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.codes import apply_merges, byte_codes, char_token
+from ..functions import ragged
+from ..functions.codes import byte_codes, code_ids
+from ..functions.ragged import MergeRanks, list_rows, merge_rows, pair_totals, to_list_array
 from ..session import cut_lineage
-from .dictionary import exploded_pairs
 from .tokenizer import FIRST_MERGE_ID, Tokenizer
 
-# Best pairs fetched per round and merges folded before the state is rewritten.
+cloudpickle.register_pickle_by_value(ragged)
+
+# Best pairs fetched per round and merges applied on the fly before the state
+# is rewritten.
 _FETCH = 128
-_REWRITE_AFTER = 48
+_REWRITE_AFTER = 64
 
 TRACE_SCHEMA = T.StructType(
     [
@@ -49,7 +56,7 @@ class Training:
 
 
 def training_state(dictionary: DataFrame) -> DataFrame:
-    """Stored (code, cnt, rank), rank being the dense first-seen order.
+    """Stored (tokens, cnt, rank), rank being the dense first-seen order.
 
     One range shuffle. The stored partition number and the row number inside
     it give the dense rank without a global window.
@@ -61,7 +68,7 @@ def training_state(dictionary: DataFrame) -> DataFrame:
         .repartitionByRange(parts, "first_doc", "first_idx")
         .sortWithinPartitions("first_doc", "first_idx")
         .select(
-            byte_codes("chunk").alias("code"),
+            code_ids(byte_codes("chunk")).alias("tokens"),
             "cnt",
             F.spark_partition_id().alias("part"),
             F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("row"),
@@ -74,25 +81,59 @@ def training_state(dictionary: DataFrame) -> DataFrame:
         starts.append(total)
         total += sizes.get(part, 0)
     offset = F.get(F.from_json(F.lit(str(starts)), "array<bigint>"), F.col("part"))
-    return stored.select("code", "cnt", (offset + F.col("row")).alias("rank"))
+    return stored.select("tokens", "cnt", (offset + F.col("row")).alias("rank"))
 
 
-def pair_counts(state: DataFrame, span: int) -> DataFrame:
-    """(pair, cnt, first): total weight and first position in corpus order.
+def pair_counts(state: DataFrame, span: int, merges=(), first_id: int = FIRST_MERGE_ID) -> DataFrame:
+    """(left, right, cnt, first) after applying `merges` to the state.
 
-    `span` exceeds every pair index, so rank * span + index orders positions.
-    Two bigint buffers keep this a map-side-combined hash aggregate.
+    Every Arrow batch is reduced to its distinct pairs before Spark combines
+    and shuffles them, so a round moves pair counts and never chunks. `span`
+    exceeds every pair index: rank * span + index orders corpus positions.
     """
-    return (
-        exploded_pairs(state)
-        .groupBy("pair")
-        .agg(
-            F.sum("cnt").alias("cnt"),
-            F.min(F.col("rank") * span + F.col("pair_idx")).alias("first"),
-        )
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = MergeRanks(merges, first_id)
+        for batch in batches:
+            values, lengths = list_rows(batch.column("tokens"))
+            if len(merges):
+                values, lengths = merge_rows(values, lengths, table)
+            weights, ranks = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("cnt", "rank"))
+            totals = pair_totals(values, lengths, weights, ranks, span)
+            yield pa.RecordBatch.from_arrays([pa.array(t) for t in totals], names=["pair", "cnt", "first"])
+
+    partial = state.select("tokens", "cnt", "rank").mapInArrow(count, "pair long, cnt long, first long")
+    totals = partial.groupBy("pair").agg(F.sum("cnt").alias("cnt"), F.min("first").alias("first"))
+    return totals.select(
+        F.shiftright("pair", 32).cast("int").alias("left"),
+        F.col("pair").bitwiseAND((1 << 32) - 1).cast("int").alias("right"),
+        "cnt",
+        "first",
     )
 
 
+def advance(state: DataFrame, merges, first_id: int) -> DataFrame:
+    """The state with `merges` applied; chunks that became a single token are
+    left out, they can never form a pair again."""
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = MergeRanks(merges, first_id)
+        for batch in batches:
+            tokens = to_list_array(*merge_rows(*list_rows(batch.column("tokens")), table))
+            rest = [batch.column(c) for c in ("cnt", "rank")]
+            yield pa.RecordBatch.from_arrays([tokens, *rest], names=["tokens", "cnt", "rank"])
+
+    merged = state.select("tokens", "cnt", "rank").mapInArrow(
+        merge, "tokens array<int>, cnt long, rank long"
+    )
+    return merged.filter(F.size("tokens") > 1)
+
+
+def best_pairs(counts: DataFrame, n: int) -> DataFrame:
+    """Most frequent first, ties to the pair seen first."""
+    return counts.orderBy(F.desc("cnt"), F.asc("first")).limit(n)
+
+
 def independent_prefix(ranked: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Longest safe run of best pairs `(left, right, cnt)` to merge at once.
 
@@ -136,42 +177,35 @@ def train(
     if wanted == 0:
         return Training(Tokenizer(name, **made), (), 0)
     state = training_state(dictionary)
-    longest, top_rank = state.agg(F.max(F.length("code")), F.max("rank")).first()
-    span = longest or 1
-    if (top_rank or 0) * span >= 1 << 62:
-        raise OverflowError("chunk positions exceed 62 bits")
+    span = position_span(state)
     merges: list[tuple[int, int]] = []
     counts: list[int] = []
     folded = rounds = 0
     while len(merges) < wanted:
         if len(merges) - folded >= _REWRITE_AFTER:
-            state = cut_lineage(_advance(state, merges, folded), "bpe-state")
+            state = cut_lineage(
+                advance(state, merges[folded:], FIRST_MERGE_ID + folded), "bpe-state"
+            )
             folded = len(merges)
-        best = (
-            pair_counts(_advance(state, merges, folded), span)
-            .orderBy(F.desc("cnt"), F.asc("first"))
-            .limit(_FETCH)
-            .collect()
-        )
+        pending = pair_counts(state, span, merges[folded:], FIRST_MERGE_ID + folded)
+        best = [(r["left"], r["right"], r["cnt"]) for r in best_pairs(pending, _FETCH).collect()]
         rounds += 1
         if not best:
             raise ValueError(f"no pairs left after {len(merges)} merges")
-        ranked = [(char_token(r["pair"][0]), char_token(r["pair"][1]), r["cnt"]) for r in best]
-        run = independent_prefix(ranked) if batched else ranked[:1]
+        run = independent_prefix(best) if batched else best[:1]
         for left, right, cnt in run[: wanted - len(merges)]:
             merges.append((left, right))
             counts.append(cnt)
     return Training(Tokenizer(name, tuple(merges), **made), tuple(counts), rounds)
 
 
-def _advance(state: DataFrame, merges: list[tuple[int, int]], folded: int) -> DataFrame:
-    """The state with the merges since its last rewrite applied; chunks that
-    became a single token can never form a pair again."""
-    pending = merges[folded:]
-    if not pending:
-        return state
-    code = apply_merges(F.col("code"), pending, FIRST_MERGE_ID + folded)
-    return state.select(code.alias("code"), "cnt", "rank").filter(F.length("code") > 1)
+def position_span(state: DataFrame) -> int:
+    """A bound on pair indexes, checked to leave room for every rank."""
+    longest, top_rank = state.agg(F.max(F.size("tokens")), F.max("rank")).first()
+    span = longest or 1
+    if (top_rank or 0) * span >= 1 << 62:
+        raise OverflowError("chunk positions exceed 62 bits")
+    return span
 
 
 def train_sizes(

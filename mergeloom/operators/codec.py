@@ -21,6 +21,7 @@ from ..functions import ragged
 from ..functions.codes import apply_merges, byte_codes, code_ids, lossy_text
 from ..functions.ragged import MergeRanks, encode_strings, take_rows, to_list_array
 from ..functions.text import chunks, chunks_with_specials, special_alternation
+from ..session import cut_lineage
 from .dictionary import exploded_chunks
 from .tokenizer import FIRST_MERGE_ID, Tokenizer
 
@@ -111,8 +112,8 @@ def encode_by_dictionary(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     """
     rows = exploded_chunks(docs.select("doc_id", "text"), tokenizer.pattern)
     counted = rows.groupBy("chunk").agg(F.count(F.lit(1)).alias("cnt"))
-    coded = encode_chunks(counted, [tokenizer]).select("chunk", "cnt", "tokens")
-    total = counted.agg(F.sum("cnt")).first()[0] or 0
+    coded = cut_lineage(encode_chunks(counted, [tokenizer]).select("chunk", "cnt", "tokens"), "chunk-codes")
+    total = coded.agg(F.sum("cnt")).first()[0] or 0
     floor = max(1, int(total * _HOT_SHARE))
     hot = coded.filter(F.col("cnt") > floor).select("chunk", F.col("tokens").alias("hot"))
     cold = coded.filter(F.col("cnt") <= floor).select("chunk", F.col("tokens").alias("cold"))
@@ -173,8 +174,7 @@ def _string_array(values: list[str]) -> Column:
 
 def checked_tokens(tokens: Column) -> Column:
     """Fail the job on an id outside 0 <= id < 2^16."""
-    bad = F.exists(tokens, lambda t: (t < 0) | (t >= MAX_TOKEN))
-    return F.when(bad, F.raise_error(F.lit("token id does not fit 16 bits"))).otherwise(tokens)
+    return F.when(out_of_range(tokens) > 0, F.raise_error(F.lit("token id does not fit 16 bits"))).otherwise(tokens)
 
 
 def token_documents(docs: DataFrame, tokenizer: Tokenizer, eot: int) -> DataFrame:
@@ -196,10 +196,9 @@ def special_violations(docs: DataFrame, specials: list[str]) -> DataFrame:
     return docs.select("doc_id", hit.alias("token")).filter(F.col("token") != "")
 
 
-def token_violations(token_docs: DataFrame) -> DataFrame:
-    """Number of ids outside the 16-bit range, per document that has any."""
-    bad = F.size(F.filter("tokens", lambda t: (t < 0) | (t >= MAX_TOKEN)))
-    return token_docs.select("doc_id", bad.alias("bad")).filter(F.col("bad") > 0)
+def out_of_range(tokens: Column | str) -> Column:
+    """Number of ids outside 0 <= id < 2^16."""
+    return F.size(F.filter(tokens, lambda t: (t < 0) | (t >= MAX_TOKEN))).cast("bigint")
 
 
 def external_encoder(encode):

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from .joins import join_bounded
+
 _FOLDS = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
@@ -73,14 +75,14 @@ def running(
             for out, (fold, _, _) in columns.items()
         ],
     )
-    if not group:  # at most `parts` rows
-        bases = F.broadcast(bases)
     # Null-safe equality keeps Catalyst from inferring filters through the
     # binary search, which it cannot rebind on the aggregated side.
     same = F.col("_range").eqNullSafe(F.col("_r"))
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    joined = ranged.join(bases, same, "inner")
+    # At most `parts` rows per group; beyond the limit the join shuffles on
+    # (group, range), which no group can overload.
+    joined = join_bounded(ranged, bases, same)
     within = W.partitionBy(*group, "_range").orderBy(key)
     out_cols = []
     for out, (fold, value, inclusive) in columns.items():

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.text import GPT4_PATTERN, byte_length, word_count
+from ..session import cut_lineage
 from ..sources.corpus import with_separators
 from .codec import decode_column, encode_chunks, encode_documents
 from .dictionary import chunk_dictionary
@@ -166,6 +167,8 @@ def compare_tokenizers(
     for pattern, group in by_pattern.items():
         part = token_counts(chunk_dictionary(texts, pattern, ["sample"]), group)
         counts = part if counts is None else counts.unionByName(part)
+    # Vocabulary-sized and read three times below: the text is tokenized once.
+    counts = cut_lineage(counts, "token-counts")
     if check_roundtrip:
         for t in tokenizers:
             part = _sample_roundtrip(texts, t)

@@ -10,6 +10,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .joins import join_bounded
 from .prefix import running
 
 # Validation and checkpoint cadence, and batches per validation.
@@ -20,7 +21,7 @@ VAL_BATCHES = 20
 
 def with_last_step(log: DataFrame, key: str = "run_name") -> DataFrame:
     """Add `last_step`, the greatest step of the run."""
-    return log.join(log.groupBy(key).agg(F.max("step").alias("last_step")), key)
+    return join_bounded(log, log.groupBy(key).agg(F.max("step").alias("last_step")), key)
 
 
 def is_validation_step(step: Column, last: Column, every: int = VAL_EVERY) -> Column:
@@ -133,7 +134,7 @@ def periodic_validations(log: DataFrame, every: float, elapsed: str = "training_
 def steps_before_stop(log: DataFrame, limit: float, elapsed: str = "training_elapsed") -> DataFrame:
     """Rows of each run before its first step at or over the time limit."""
     stops = log.filter(F.col(elapsed) >= limit).groupBy("run_name").agg(F.min("step").alias("_stop"))
-    joined = log.join(stops, "run_name", "left")
+    joined = join_bounded(log, stops, "run_name", "left")
     return joined.filter(F.col("_stop").isNull() | (F.col("step") < F.col("_stop"))).drop("_stop")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import codes, text as tx
 from ..operators import batches, codec, dictionary, evals, packing, report, runlogs
-from ..operators.bpe_train import Training, pair_counts, train, training_state
+from ..operators.bpe_train import Training, best_pairs, pair_counts, position_span, train, training_state
 from ..operators.prefix import dense_index
 from ..operators.quota import quota_split
 from ..operators.tokenizer import Tokenizer, merges_table, specials_table, vocab_table
@@ -79,7 +79,7 @@ def shard_pieces(spark, sf) -> DataFrame:
 
 
 def by_language(spark, sf) -> DataFrame:
-    rows = corpus.table(spark, sf, "documents")
+    rows = corpus.spread(corpus.table(spark, sf, "documents").select("doc_id", "lang", "text"))
     return corpus.named_samples(rows, F.col("lang"))
 
 
@@ -250,12 +250,10 @@ def p2_word_count(spark, sf):
 
 
 def p3_token_range(spark, sf):
-    coded = token_docs(spark, sf)
-    bad = codec.token_violations(coded)
-    return coded.join(bad, "doc_id", "left").agg(
+    return token_docs(spark, sf).agg(
         F.count(F.lit(1)).alias("docs"),
         F.sum("n_tokens").alias("tokens"),
-        F.coalesce(F.sum("bad"), F.lit(0)).cast("bigint").alias("bad"),
+        F.sum(codec.out_of_range("tokens")).alias("bad"),
     )
 
 
@@ -476,10 +474,7 @@ def a2_incremental_counts(spark, sf):
 
 def a3_best_pair(spark, sf):
     state = training_state(dictionary.chunk_dictionary(joined_docs(spark, sf)))
-    span = state.agg(F.max(F.length("code"))).first()[0]
-    best = pair_counts(state, span).orderBy(F.desc("cnt"), F.asc("first")).limit(1)
-    char = lambda i: codes.char_to_id(F.substring("pair", i, 1))
-    return best.select(char(1).alias("left"), char(2).alias("right"), "cnt")
+    return best_pairs(pair_counts(state, position_span(state)), 1).select("left", "right", "cnt")
 
 
 def a4_chunk_dictionary(spark, sf):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.joins import join_bounded
 from ..operators.prefix import dense_index
 from ..operators.runlogs import is_validation_step, with_last_step
 from ..sources.corpus import table
@@ -15,7 +16,7 @@ def train_log(spark: SparkSession, sf: str) -> DataFrame:
     steps = dense_index(events, "event_id", "step", ["event_type"])
     starts = events.groupBy("event_type").agg(F.min("ts").alias("t0"))
     elapsed = (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("t0").cast("timestamp"))) / 1e6
-    return steps.join(starts, "event_type").select(
+    return join_bounded(steps, starts, "event_type").select(
         F.col("event_type").alias("run_name"),
         "step",
         F.col("value").alias("train_loss"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import DOC_SEPARATOR
+from ..operators.joins import join_bounded
 from ..operators.prefix import dense_index
 
 
@@ -12,9 +13,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(docs: DataFrame) -> DataFrame:
+    """Use every core on a corpus stored in too few splits to do so by itself.
+
+    A corpus with at least one split per core is read in place, unshuffled.
+    """
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    if docs.rdd.getNumPartitions() >= cores:
+        return docs
+    return docs.repartition(cores, "doc_id")
+
+
 def scan_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, text); document order comes from doc_id only."""
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def first_documents(docs: DataFrame, n: int) -> DataFrame:
@@ -58,9 +70,11 @@ def with_separators(docs: DataFrame, group: str | None = None) -> DataFrame:
     if group is None:
         last = docs.agg(F.max("doc_id")).first()[0]
         return docs.withColumn("text", F.when(F.col("doc_id") == last, F.col("text")).otherwise(tail))
-    lasts = docs.groupBy(group).agg(F.max("doc_id").alias("_last"))
-    joined = docs.join(lasts, group)
-    text = F.when(F.col("doc_id") == F.col("_last"), F.col("text")).otherwise(tail)
+    # Keyed by document as well: beyond the broadcast limit the text shuffles
+    # on single documents and a group with a third of them does no harm.
+    lasts = docs.groupBy(group).agg(F.max("doc_id").alias("doc_id")).withColumn("_last", F.lit(True))
+    joined = join_bounded(docs, lasts, [group, "doc_id"], "left")
+    text = F.when(F.col("_last"), F.col("text")).otherwise(tail)
     return joined.withColumn("text", text).select(*docs.columns)
 
 
