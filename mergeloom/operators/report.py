@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions.text import GPT4_PATTERN, byte_length, word_count
+from ..functions.text import byte_length, word_count
 from ..session import cut_lineage
 from ..sources.corpus import with_separators
 from .codec import decode_column, encode_chunks, encode_documents
@@ -159,21 +159,21 @@ def compare_tokenizers(
     With `joined`, the documents of a sample count as one text joined by the
     document separator.
     """
-    texts = with_separators(samples, "sample") if joined else samples
     by_pattern: dict[str, list[Tokenizer]] = {}
     for t in tokenizers:
-        by_pattern.setdefault(t.pattern or GPT4_PATTERN, []).append(t)
-    counts = checks = None
+        by_pattern.setdefault(t.pattern, []).append(t)
+    counts = checks = totals = None
     for pattern, group in by_pattern.items():
+        texts = with_separators(samples, "sample", pattern) if joined else samples
         part = token_counts(chunk_dictionary(texts, pattern, ["sample"]), group)
         counts = part if counts is None else counts.unionByName(part)
-    # Vocabulary-sized and read three times below: the text is tokenized once.
-    counts = cut_lineage(counts, "token-counts")
-    if check_roundtrip:
-        for t in tokenizers:
+        totals = sample_totals(texts) if totals is None else totals
+        for t in group if check_roundtrip else ():
             part = _sample_roundtrip(texts, t)
             checks = part if checks is None else checks.unionByName(part)
-    return report_from_counts(counts, sample_totals(texts), tokenizer_sizes(tokenizers), top_n, checks)
+    # Vocabulary-sized and read three times below: the text is tokenized once.
+    counts = cut_lineage(counts, "token-counts")
+    return report_from_counts(counts, totals, tokenizer_sizes(tokenizers), top_n, checks)
 
 
 def _sample_roundtrip(texts: DataFrame, tokenizer: Tokenizer) -> DataFrame:
@@ -192,4 +192,5 @@ def compare_encoders(samples: DataFrame, encoders: dict, sizes: dict[str, int |
             "sample", F.lit(name).alias("tokenizer"), "doc_id", encoder(F.col("text")).alias("tokens")
         )
         coded = part if coded is None else coded.unionByName(part)
+    sizes = {name: sizes.get(name) for name in encoders}
     return report_from_counts(document_token_counts(coded), sample_totals(samples), sizes, top_n)

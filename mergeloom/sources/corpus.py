@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.text import DOC_SEPARATOR
+from ..functions.text import DOC_SEPARATOR, GPT2_PATTERN, GPT4_PATTERN
 from ..operators.joins import join_bounded
-from ..operators.prefix import dense_index
+from ..operators.prefix import dense_index, running
+from ..session import cut_lineage
+
+# Where each pattern breaks a white-space run that holds a separator.
+_CUTS = {GPT4_PATTERN: "after_newline", GPT2_PATTERN: "before_last"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,21 +65,92 @@ def numbered_samples(texts: DataFrame, key: str) -> DataFrame:
     return numbered.select(name.alias("sample"), "doc_id", "text")
 
 
-def with_separators(docs: DataFrame, group: str | None = None) -> DataFrame:
-    """Give every document but the last of the corpus (or of its group) the
-    separator, so that tokenizing documents one by one gives the chunks of the
-    joined text. Exact for the default pattern unless a document starts with a
-    whitespace run containing a line break."""
-    tail = F.concat(F.col("text"), F.lit(DOC_SEPARATOR))
+def with_separators(docs: DataFrame, group: str | None = None, pattern: str = GPT4_PATTERN) -> DataFrame:
+    """Cut the separator-joined corpus (per group) into one piece per document,
+    such that the chunks of the pieces are exactly the chunks of the whole.
+
+    The separator and the white space around it form one run. Both published
+    patterns always break inside that run: the default one after its last line
+    break, the older one before its last character. The part of a document's
+    leading white space before that point moves to the piece before; a blank
+    document moves there whole. For any other pattern the separator simply
+    follows its document.
+
+    One extra pass reads the text for leading white space. Only documents that
+    have some reach a join, on single documents, so group sizes do not matter.
+    """
+    keys = [group] if group else []
+    cut = _CUTS.get(pattern)
+    default_tail = DOC_SEPARATOR[:-1] if cut == "before_last" else DOC_SEPARATOR
+    lead = F.regexp_extract("text", r"(?U)^\s*", 0)
+    if cut == "after_newline":
+        moved = F.regexp_extract("text", r"(?U)^\s*[\r\n]", 0)
+    elif cut == "before_last":
+        moved = F.expr("substring(_lead, 1, greatest(length(_lead) - 1, 0))")
+    else:
+        moved = F.lit("")
+    shaped = docs.withColumn("_lead", lead)
+    blank = (F.col("_lead") == F.col("text")) if cut else F.lit(False)
+    leads = F.col("_lead") != "" if cut == "before_last" else moved != ""
+    part = F.when(blank, F.col("text")).when(leads, moved)
+    shaped = shaped.select("*", moved.alias("_moved"), blank.alias("_blank"))
+
+    ends = docs.groupBy(*keys).agg(F.min("doc_id").alias("_first"), F.max("doc_id").alias("_last"))
+    ends = cut_lineage(ends.filter(F.col("_first").isNotNull()), "corpus-ends")
+    edges = None
+    if cut:
+        narrow = docs.withColumn("_lead", lead).select(
+            *keys, "doc_id", blank.alias("_blank"), part.alias("_part")
+        )
+        narrow = cut_lineage(narrow, "doc-edges")
+        if not narrow.filter(F.col("_part").isNotNull()).isEmpty():
+            edges = _moved_tails(narrow, ends, keys, default_tail)
     if group is None:
-        last = docs.agg(F.max("doc_id")).first()[0]
-        return docs.withColumn("text", F.when(F.col("doc_id") == last, F.col("text")).otherwise(tail))
-    # Keyed by document as well: beyond the broadcast limit the text shuffles
-    # on single documents and a group with a third of them does no harm.
-    lasts = docs.groupBy(group).agg(F.max("doc_id").alias("doc_id")).withColumn("_last", F.lit(True))
-    joined = join_bounded(docs, lasts, [group, "doc_id"], "left")
-    text = F.when(F.col("_last"), F.col("text")).otherwise(tail)
-    return joined.withColumn("text", text).select(*docs.columns)
+        first, last = ends.first() or (None, None)
+        is_first, is_last = F.col("doc_id") == F.lit(first), F.col("doc_id") == F.lit(last)
+        if edges is not None:
+            shaped = join_bounded(shaped, edges, "doc_id", "left")
+    else:
+        sides = [
+            F.struct(F.col("_first").alias("doc_id"), F.lit(True).alias("f"), F.lit(None).cast("boolean").alias("l")),
+            F.struct(F.col("_last").alias("doc_id"), F.lit(None).cast("boolean").alias("f"), F.lit(True).alias("l")),
+        ]
+        marks = ends.select(*keys, F.explode(F.array(*sides)).alias("m")).select(
+            *keys, "m.*", F.lit(None).cast("string").alias("_tail")
+        )
+        if edges is not None:
+            marks = marks.unionByName(edges, allowMissingColumns=True)
+        marks = marks.groupBy(*keys, "doc_id").agg(*[F.max(c).alias(c) for c in ("f", "l", "_tail")])
+        shaped = join_bounded(shaped, marks, [*keys, "doc_id"], "left")
+        is_first, is_last = F.coalesce("f", F.lit(False)), F.coalesce("l", F.lit(False))
+    tail = F.when(is_last, F.lit("")).otherwise(F.lit(default_tail))
+    if edges is not None:
+        tail = F.coalesce("_tail", tail)
+    own = F.expr("substring(text, length(_moved) + 1)")
+    if cut == "before_last":
+        own = F.concat(F.when(F.col("_lead") == "", F.lit(DOC_SEPARATOR[-1])).otherwise(""), own)
+    own = F.when(is_first, F.col("text")).otherwise(own)
+    pieces = shaped.filter(is_first | ~F.col("_blank"))
+    return pieces.withColumn("text", F.concat(own, tail)).select(*docs.columns)
+
+
+def _moved_tails(narrow: DataFrame, ends: DataFrame, keys: list[str], default_tail: str) -> DataFrame:
+    """(keys..., doc_id, _tail) for documents followed by ones that give up
+    leading white space. A tail is part of one chunk's white space."""
+    if keys:
+        flagged = join_bounded(narrow, ends, keys)
+    else:
+        first, last = ends.first()
+        flagged = narrow.withColumns({"_first": F.lit(first), "_last": F.lit(last)})
+    away = F.col("_blank") & (F.col("doc_id") != F.col("_first"))
+    owned = running(flagged, "doc_id", {"_owner": ("max", F.when(~away, F.col("doc_id")), False)}, keys)
+    given = owned.filter(F.col("_part").isNotNull() & (F.col("doc_id") != F.col("_first")))
+    ordered = F.array_sort(F.collect_list(F.struct("doc_id", "_part", "_blank", "_last")))
+    chains = given.groupBy(*keys, "_owner").agg(ordered.alias("c"))
+    end = F.element_at("c", -1)
+    closing = F.when(end["_blank"] & (end["doc_id"] != end["_last"]), default_tail).otherwise("")
+    moved = F.array_join(F.transform("c", lambda d: F.concat(F.lit(DOC_SEPARATOR), d["_part"])), "")
+    return chains.select(*keys, F.col("_owner").alias("doc_id"), F.concat(moved, closing).alias("_tail"))
 
 
 def corpus_totals(docs: DataFrame, by: str) -> DataFrame:
