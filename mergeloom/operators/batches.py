@@ -41,8 +41,13 @@ def batch_rows(pieces: DataFrame, lengths: DataFrame, B: int, T: int, world: int
     end = F.least(F.col("start") + size, F.col("g") * T + T + 1)
     part = F.slice("tokens", (begin - F.col("start") + 1).cast("int"), (end - begin).cast("int"))
     parts = fed.select("split", "shard_id", "g", begin.alias("at"), part.alias("part"))
-    rows = parts.groupBy("split", "shard_id", "g").agg(
-        F.array_sort(F.collect_list(F.struct("at", "part"))).alias("p")
+    rows = (
+        parts.groupBy("split", "shard_id", "g")
+        .agg(
+            F.array_sort(F.collect_list(F.struct("at", "part"))).alias("p"),
+            F.sum(F.size("part")).alias("n"),
+        )
+        .filter(F.col("n") == T + 1)
     )
     window = F.flatten(F.transform("p", lambda p: p["part"]))
     per_stride = B * world
@@ -53,7 +58,7 @@ def batch_rows(pieces: DataFrame, lengths: DataFrame, B: int, T: int, world: int
         F.expr(f"(g % {per_stride}) div {B}").cast("int").alias("rank"),
         F.expr(f"g % {B}").cast("int").alias("row"),
         window.alias("w"),
-    ).filter(F.size("w") == T + 1)
+    )
     served = shard_batches(lengths, B, T, world).select("split", "shard_id", "rank", "n_batches")
     return (
         join_bounded(placed, served, ["split", "shard_id", "rank"])

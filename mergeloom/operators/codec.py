@@ -174,7 +174,8 @@ def _string_array(values: list[str]) -> Column:
 
 def checked_tokens(tokens: Column) -> Column:
     """Fail the job on an id outside 0 <= id < 2^16."""
-    return F.when(out_of_range(tokens) > 0, F.raise_error(F.lit("token id does not fit 16 bits"))).otherwise(tokens)
+    bad = (F.array_min(tokens) < 0) | (F.array_max(tokens) >= MAX_TOKEN)
+    return F.when(bad, F.raise_error(F.lit("token id does not fit 16 bits"))).otherwise(tokens)
 
 
 def token_documents(docs: DataFrame, tokenizer: Tokenizer, eot: int) -> DataFrame:

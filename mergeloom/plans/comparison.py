@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.text import GPT4_PATTERN
 from ..operators.batches import batch_rows
 from ..operators.bpe_train import train_sizes
 from ..operators.codec import token_documents
@@ -14,6 +15,7 @@ from ..operators.report import compare_tokenizers
 from ..operators.tokenizer import Tokenizer
 from ..session import cut_lineage, new_path
 from ..sources.corpus import with_separators
+from ..sources.models import load_models, save_model, save_vocab
 from ..sources.shards import read_shards, write_shards
 
 
@@ -31,6 +33,26 @@ def train_and_report(
     return compare_tokenizers(test_docs, tokenizers)
 
 
+def train_and_save(docs: DataFrame, vocab_sizes: list[int], directory: str, pattern: str | None = None) -> list[Tokenizer]:
+    """Train several sizes on a corpus and write their model and vocabulary
+    files as `regex_vocab_<size>`."""
+    texts = with_separators(docs, pattern=pattern or GPT4_PATTERN)
+    made = train_sizes(chunk_dictionary(texts, pattern or GPT4_PATTERN), vocab_sizes, pattern)
+    for tokenizer in made:
+        save_model(docs.sparkSession, tokenizer, directory)
+        save_vocab(docs.sparkSession, tokenizer, directory)
+    return made
+
+
+def report_on_models(samples: DataFrame, directory: str, output: str, top_n: int = 20) -> DataFrame:
+    """Compare every saved model of a directory on samples (sample, doc_id,
+    text); the report is written as JSON lines and read back."""
+    spark = samples.sparkSession
+    rows = compare_tokenizers(samples, load_models(spark, f"{directory}/*.model"), top_n)
+    rows.write.json(output)
+    return spark.read.schema(rows.schema).json(output)
+
+
 def build_shards(docs: DataFrame, tokenizer: Tokenizer, eot: int, shard_size: int) -> DataFrame:
     """Tokenize, pack and write shards; returns the stored pieces."""
     spark = docs.sparkSession

@@ -147,3 +147,29 @@ def test_weighted_draw_follows_the_weights(spark):
     assert again.exceptAll(drawn).count() == 0
     other = evals.weighted_draw(df, "row_id", "cand", "prob", seed=2, k=2)
     assert other.exceptAll(drawn).count() > 0
+
+
+def test_config_table(spark):
+    from mergeloom.sources.configs import config_grid
+
+    entries = [("comp1", {"n_layer": 2}), ("comp2", {"n_head": 8}), ("comp1", {"n_layer": 8, "total_batch_size": 4096})]
+    grid = runlogs.last_config_wins(config_grid(spark, entries))
+    rows = {r["run_name"]: r for r in runlogs.schedule_parameters(grid).collect()}
+    assert len(rows) == 2 and rows["comp1"]["n_layer"] == 8 and rows["comp1"]["position"] == 0
+    assert rows["comp1"]["divisible"] and not rows["comp2"]["divisible"]
+    assert rows["comp1"]["grad_accum"] == 4 and rows["comp2"]["max_steps"] == 100_000
+    with pytest.raises(ValueError):
+        config_grid(spark, [("x", {"layers": 1})])
+
+
+def test_eval_rows_scan(spark, tmp_path):
+    from mergeloom.sources.evals import EVAL_SCHEMA, read_eval_rows
+
+    path = str(tmp_path / "evals")
+    rows = [(1, c, p, float(c + p), int(p > 0), 0) for c in range(4) for p in range(3)]
+    spark.createDataFrame(rows, EVAL_SCHEMA).write.parquet(path)
+    scored = evals.masked_loss(evals.shift_mask(read_eval_rows(spark, path)), extra=[])
+    assert evals.predictions(scored).first()["pred"] == 0
+    ranked = spark.createDataFrame([(0, 0, 0), (1, 1, 0), (0, 1, 1)], "rank int, pred int, label int")
+    by_rank = {r["rank"]: (r["num_correct"], r["num_total"]) for r in evals.accuracy(ranked, ["rank"]).collect()}
+    assert by_rank == {0: (2, 2), 1: (0, 1)}

@@ -160,3 +160,15 @@ def test_vocab_listing(spark, tmp_path):
     models.save_vocab(spark, t, str(tmp_path))
     saved = [r["value"] for r in spark.read.text(f"{tmp_path}/v.vocab").collect()]
     assert saved == [lines[i] for i in range(259)]
+
+
+def test_train_save_load_report(spark, tmp_path):
+    from mergeloom.plans.comparison import report_on_models, train_and_save
+
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    made = train_and_save(docs, [258, 262], str(tmp_path / "models"))
+    samples = docs.withColumn("sample", F.lit("s"))
+    rows = report_on_models(samples, str(tmp_path / "models"), str(tmp_path / "report")).collect()
+    tokens = {r["tokenizer"]: r["tokens"] for r in rows}
+    whole = "\n\n".join(TEXTS)
+    assert tokens == {t.name: len(model.encode(whole, t.merges)) for t in made}
