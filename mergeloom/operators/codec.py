@@ -3,7 +3,7 @@
 `encode_documents` is a narrow operator: Spark's regex makes the chunks, each
 Arrow batch encodes its distinct chunks once, and no row leaves its partition.
 `encode_by_dictionary` is the join form for when a chunk dictionary is already
-there. `encode_column` is the pure expression form, for streams and few merges.
+there. `encode_column` is the pure expression form, for few merges.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from ..functions.ragged import MergeRanks, encode_strings, take_rows, to_list_ar
 from ..functions.text import chunks, chunks_with_specials, special_alternation
 from ..session import cut_lineage
 from .dictionary import exploded_chunks
+from .joins import join_bounded
 from .tokenizer import FIRST_MERGE_ID, Tokenizer
 
 # Executors need not have this package installed: its task code travels along.
@@ -30,8 +31,7 @@ cloudpickle.register_pickle_by_value(ragged)
 
 # Fixed value: token files hold unsigned 16-bit ids.
 MAX_TOKEN = 1 << 16
-# A chunk at or above this share of all occurrences is hot; at most 1/share
-# chunks can be, which bounds what the hot side broadcasts.
+# A chunk above this share of all occurrences is hot; fewer than 1/share can be.
 _HOT_SHARE = 1 / 2_000
 
 
@@ -117,7 +117,7 @@ def encode_by_dictionary(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     floor = max(1, int(total * _HOT_SHARE))
     hot = coded.filter(F.col("cnt") > floor).select("chunk", F.col("tokens").alias("hot"))
     cold = coded.filter(F.col("cnt") <= floor).select("chunk", F.col("tokens").alias("cold"))
-    looked = rows.join(F.broadcast(hot), "chunk", "left")
+    looked = join_bounded(rows, hot, "chunk", "left")
     frequent = looked.filter(F.col("hot").isNotNull()).select(
         "doc_id", "chunk_idx", F.col("hot").alias("ids")
     )

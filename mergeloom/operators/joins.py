@@ -2,23 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..session import cut_lineage
 
-# About 50 MB at the row widths used here.
-BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
+
+
+def _width(field: T.StructField) -> Column:
+    """Approximate bytes of one value."""
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(field.name), F.lit(0)) + F.lit(16)
+    if isinstance(field.dataType, T.ArrayType):
+        return F.coalesce(F.size(field.name), F.lit(0)) * 16 + F.lit(16)
+    return F.lit(16)
+
+
+def measured_bytes(df: DataFrame) -> int:
+    total = sum((_width(f) for f in df.schema.fields), F.lit(0)).cast("bigint")
+    return df.agg(F.coalesce(F.sum(total), F.lit(0))).first()[0]
 
 
 def join_bounded(
     left: DataFrame, small: DataFrame, on: str | list[str] | Column, how: str = "inner",
-    limit: int = BROADCAST_ROWS,
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Broadcast `small` if it has at most `limit` rows, else join by shuffle.
+    """Broadcast `small` if it measures at most `limit` bytes, else join by
+    shuffle.
 
-    `small` is stored first, so counting it does not derive it twice.
+    `small` is stored first, so measuring it does not derive it twice.
     """
     stored = cut_lineage(small, "small-side")
-    if stored.count() <= limit:
+    if measured_bytes(stored) <= limit:
         stored = F.broadcast(stored)
     return left.join(stored, on, how)

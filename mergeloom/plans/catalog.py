@@ -692,7 +692,7 @@ def w6_periodic_validation(spark, sf):
 
 def w7_training_elapsed(spark, sf):
     rows = _timed(spark, sf)
-    return rows.select("run_name", "step", F.round("training_elapsed", 3).alias("training_elapsed"))
+    return rows.select("run_name", "step", F.round("training_elapsed", 6).alias("training_elapsed"))
 
 
 def w8_best_so_far(spark, sf):
@@ -705,12 +705,12 @@ def w9_stop_condition(spark, sf):
 
 
 def w10_final_validation(spark, sf):
-    early = val_log(spark, sf).filter(F.col("step") % 500 == 0)
-    return runlogs.final_validations(train_log(spark, sf), early)
+    log = train_log(spark, sf)
+    return runlogs.final_validations(log, derived.periodic_val_log(log))
 
 
 def w11_batch_schedule(spark, sf):
-    micro = derived.micro_loss(train_log(spark, sf)).filter(F.col("run_name") == "view").select("step", "micro")
+    micro = derived.micro_loss(train_log(spark, sf)).select("run_name", "step", "micro")
     lengths = packing.shard_lengths(shard_pieces(spark, sf).filter(F.col("split") == "train"))
     return batches.batch_schedule(micro, lengths, B, T, 8)
 
@@ -835,7 +835,7 @@ def f3_special_vocab(spark, sf):
     return vocab.join(ids, "id", "left").select("id", F.decode("bytes", "UTF-8").alias("token"), F.coalesce("cnt", F.lit(0)).alias("cnt"))
 
 
-def z_train_and_report(spark, sf):
+def train_and_report_query(spark, sf):
     rows = train_and_report(docs(spark, sf), [260, 264])
     return rows.select("sample", "tokenizer", "bytes", "words", "tokens", "unique_tokens", "vocab_size")
 
@@ -847,5 +847,5 @@ def registered() -> dict:
         head = name.split("_")[0]
         if head.rstrip("0123456789") in prefixes and head[-1].isdigit() and callable(fn):
             found[name] = fn
-    found["train_and_report"] = z_train_and_report
+    found["train_and_report"] = train_and_report_query
     return found

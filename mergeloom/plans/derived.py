@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.joins import join_bounded
 from ..operators.prefix import dense_index
-from ..operators.runlogs import is_validation_step, with_last_step
+from ..operators.runlogs import VAL_EVERY, is_validation_step, with_last_step
 from ..sources.corpus import table
 
 
@@ -30,6 +30,12 @@ def val_log(log: DataFrame) -> DataFrame:
     return kept.select("run_name", "step", F.col("train_loss").alias("val_loss"), "elapsed_seconds")
 
 
+def periodic_val_log(log: DataFrame) -> DataFrame:
+    """Validations on the cadence only, before the final one is appended."""
+    due = log.filter(F.col("step") % VAL_EVERY == 0)
+    return due.select("run_name", "step", F.col("train_loss").alias("val_loss"), "elapsed_seconds")
+
+
 def micro_loss(log: DataFrame, per_step: int = 8) -> DataFrame:
     return log.select(
         "run_name",

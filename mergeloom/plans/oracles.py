@@ -521,7 +521,7 @@ def sql() -> dict[str, str]:
     q["w6_periodic_validation"] = _with(_LOG) + """SELECT run_name, floor(elapsed_seconds / 86400)::BIGINT AS period, min(step) AS step
         FROM log WHERE floor(elapsed_seconds / 86400) >= 1 GROUP BY ALL"""
     q["w7_training_elapsed"] = _with(_LOG) + """SELECT run_name, step, round(elapsed_seconds - coalesce(sum(train_loss) OVER
-        (PARTITION BY run_name ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 3) AS training_elapsed FROM log"""
+        (PARTITION BY run_name ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 6) AS training_elapsed FROM log"""
     q["w8_best_so_far"] = _with(*_LOGS) + (
         "SELECT run_name, step, min(val_loss) OVER (PARTITION BY run_name ORDER BY step) AS best_so_far FROM val"
     )
@@ -530,7 +530,7 @@ def sql() -> dict[str, str]:
         GROUP BY run_name"""
     q["w10_final_validation"] = _with(*_LOGS) + """SELECT run_name, step, last_val_step FROM
         (SELECT run_name, max(step) AS step FROM log GROUP BY run_name)
-        LEFT JOIN (SELECT run_name, max(step) AS last_val_step FROM val WHERE step % 500 = 0 GROUP BY run_name) USING (run_name)
+        LEFT JOIN (SELECT run_name, max(step) AS last_val_step FROM log WHERE step % 250 = 0 GROUP BY run_name) USING (run_name)
         WHERE step IS DISTINCT FROM last_val_step"""
     q["w11_batch_schedule"] = _with(
         *_STREAMS, _LOG, _MICRO,
@@ -538,9 +538,9 @@ def sql() -> dict[str, str]:
         "slots AS (SELECT shard_id, unnest(range(0, nb)) AS batch_idx, coalesce(sum(nb) OVER (ORDER BY shard_id "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM served)",
         "total AS (SELECT sum(nb)::BIGINT AS t FROM served)",
-        "want AS (SELECT step, micro, step * 8 + micro AS n, (step * 8 + micro) // t AS cycle, (step * 8 + micro) % t AS slot "
-        "FROM micro, total WHERE run_name = 'view')",
-    ) + "SELECT step, micro, cycle, shard_id, batch_idx FROM want JOIN slots ON slot = before + batch_idx"
+        "want AS (SELECT run_name, step, micro, step * 8 + micro AS n, (step * 8 + micro) // t AS cycle, (step * 8 + micro) % t AS slot "
+        "FROM micro, total)",
+    ) + "SELECT run_name, step, micro, cycle, shard_id, batch_idx FROM want JOIN slots ON slot = before + batch_idx"
     q["w12_softmax"] = """SELECT user_id AS row_id, event_id AS cand, round(exp(value - m) / sum(exp(value - m)) OVER (PARTITION BY user_id), 9) AS prob
         FROM (SELECT *, max(value) OVER (PARTITION BY user_id) AS m FROM events)"""
 

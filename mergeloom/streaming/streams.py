@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.codec import encode_column
+from ..operators.codec import encode_documents
 from ..operators.packing import shard_spans, split_label
 from ..operators.prefix import running
 from ..operators.tokenizer import Tokenizer
@@ -20,8 +20,8 @@ def document_stream(spark: SparkSession, sf_dir: str, name: str = "documents") -
 
 
 def encode_stream(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
-    """Stateless: (doc_id, tokens) by expression only."""
-    return docs.select("doc_id", encode_column(tokenizer).alias("tokens"))
+    """Stateless: (doc_id, tokens), the same narrow operator as in batch."""
+    return encode_documents(docs.select("doc_id", "text"), tokenizer)
 
 
 def token_count_stream(encoded: DataFrame) -> DataFrame:
