@@ -1,12 +1,13 @@
 """Toxicity by a factorization machine over hashed terms.
 
-score = sigmoid(b + sum w_i + 1/2n * sum_f ((sum v_if)^2 - sum v_if^2)) over the n distinct hashed
-words of a text: single terms, and pairs of terms through their factors, such as
+score = sigmoid(b + sum w_i + 1/2n * sum_f ((sum v_if)^2 - sum v_if^2)) over the n distinct fitted terms (hashed
+words) of a text: single terms, and pairs of terms through their factors, such as
 an insult with a mention of a group.
 
 Fitting takes at most `FIT_ROWS` labelled documents (those with the smallest
 hash of doc_id) and works on their hashed terms on the driver, which bounds it by FIT_ROWS
-x distinct buckets; terms in fewer than `LEAST_DOCS` of them weigh nothing. The weights, of a fixed size
+x distinct buckets; terms in fewer than `LEAST_DOCS` of them, or without a share of toxic documents of their
+own, aren't fitted. The weights, of a fixed size
 (2^18 x 5 floats), are broadcast; all rows and whole texts are scored with NumPy.
 
 Edge cases: null or wordless texts score sigmoid(b). Several labels of a doc_id count
@@ -52,8 +53,10 @@ class Machine:
     bias: float
     linear: np.ndarray
     factors: np.ndarray  # BUCKETS x FACTORS
+    known: np.ndarray  # which buckets were fitted; n counts these
 
     def raw(self, rows: list[np.ndarray]) -> np.ndarray:
+        rows = [r[self.known[r]] for r in rows]
         return np.array([self.bias + _margin(self.linear[r], self.factors[r]) for r in rows])
 
 
@@ -73,7 +76,7 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, seed: int = 11) -> Machine:
     share = float(toxic.mean()) if len(toxic) else 0.0
     linear, factors = np.zeros(BUCKETS, np.float32), np.zeros((BUCKETS, FACTORS), np.float32)
     if share in (0.0, 1.0):
-        return Machine(40.0 if share else -40.0, linear, factors)
+        return Machine(40.0 if share else -40.0, linear, factors, np.zeros(BUCKETS, bool))
     bias = float(np.log(share / (1 - share)))
     n = np.bincount(np.concatenate(rows), minlength=BUCKETS)
     k = np.bincount(np.concatenate(rows), np.repeat(toxic, [len(r) for r in rows]), BUCKETS)
@@ -108,7 +111,7 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, seed: int = 11) -> Machine:
                 step = np.bincount(back, each * spread[:, f], len(used)) + DECAY * factors[used, f]
                 power_v[used, f] += step * step
                 factors[used, f] -= (RATE * step / np.sqrt(power_v[used, f])).astype(np.float32)
-    return Machine(bias, linear, factors)
+    return Machine(bias, linear, factors, seen)
 
 
 def _terms_column(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -124,13 +127,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     marks = marks.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
     text = docs.select(docs["doc_id"], text_of(docs).alias("text")).join(F.broadcast(chosen), "doc_id")
-    rows = text.select("toxic", F.arrow_udf(_terms_column, "array<int>")("text").alias("terms"), "doc_id").toLocalIterator()
-    found, toxic = [], []
-    for r in rows:
-        if len(found) < FIT_ROWS:  # ids may repeat in docs
-            found.append(np.array(r.terms, np.int32))
-            toxic.append(r.toxic)
-    return fit(found, np.array(toxic, np.float64))
+    found = text.select("doc_id", "toxic", F.arrow_udf(_terms_column, "array<int>")("text").alias("terms")).toArrow()
+    found = found.sort_by([("doc_id", "ascending")]).slice(0, FIT_ROWS)  # ids may repeat in docs
+    toxic = found["toxic"].to_numpy().astype(np.float64)
+    return fit([np.asarray(r.values) for r in found["terms"]], toxic)
 
 
 def scorer(docs: DataFrame, machine: Machine):

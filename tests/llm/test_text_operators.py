@@ -117,13 +117,13 @@ def test_language_held_out(spark, sf):
 
 
 def test_toxicity_learns_pairs():
-    """Toxic only when both terms meet: no additive model separates these."""
+    """Of four terms, only two pairs are toxic: all six pairs look alike to an additive model."""
     rng = np.random.default_rng(4)
     rows, toxic = [], []
-    for i in range(3000):
-        a, b = rng.random(2) < 0.5
-        rows.append(np.unique(np.concatenate([rng.integers(100, 140, 3), [1] if a else [], [2] if b else []]).astype(np.int32)))
-        toxic.append(float(a and b))
+    for i in range(6000):
+        pair = rng.choice([1, 2, 3, 4], 2, replace=False).tolist() if rng.random() < 0.4 else []
+        rows.append(np.unique(np.array([*rng.integers(100, 140, 3), *pair], np.int32)))
+        toxic.append(float(set(pair) in ({1, 2}, {3, 4})))
     m = toxicity.fit(rows, np.array(toxic))
     s = toxicity.sigmoid(m.raw(rows))
     assert ((s >= 0.5) == np.array(toxic)).mean() > 0.97
