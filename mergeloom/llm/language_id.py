@@ -117,14 +117,13 @@ def train(docs: DataFrame) -> Model:
     """Counts over all rows of `docs` that have a lang."""
     rows = docs.where(docs["lang"].isNotNull()).select(docs["lang"].cast("string").alias("lang"), text_of(docs).alias("text"))
     counted = rows.mapInArrow(_counted, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    per_lang = counted.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("counts"))
-    found = {r.lang: r.counts for r in per_lang.toLocalIterator()}
+    found = counted.toArrow()  # a row per language and bucket at most
     priors = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    langs = sorted(found)
+    langs = sorted(set(found["lang"].to_pylist()))
     weights = np.full((len(langs), BUCKETS), SMOOTHING)
-    for i, lang in enumerate(langs):
-        pairs = np.array(found[lang], np.int64).reshape(-1, 2)
-        weights[i, pairs[:, 0]] += pairs[:, 1]
+    if langs:
+        row = np.searchsorted(langs, found["lang"].to_numpy().astype(str))
+        weights[row, found["bucket"].to_numpy()] += found["n"].to_numpy()
     total = np.array([priors[x] for x in langs], float)
     return Model(langs, np.log(weights / weights.sum(1, keepdims=True)).astype(np.float32), np.log(total / max(1.0, total.sum())))
 
