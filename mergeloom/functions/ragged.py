@@ -109,26 +109,30 @@ def list_rows(column: pa.ListArray):
     return column.flatten().to_numpy(zero_copy_only=False), lengths
 
 
-def pair_totals(values, lengths, weights, ranks, span):
-    """(key, cnt, first) of the adjacent pairs in one batch of rows.
+def pair_totals(values, lengths, weights, ranks):
+    """(key, cnt, rank, index) of the adjacent pairs in one batch of rows.
 
     key is left << 32 | right; cnt sums the weights of the rows, counting each
-    overlapping occurrence; first is the least rank * span + index.
+    overlapping occurrence; (rank, index) is the least place of the pair.
     """
+    if len(ranks) and (np.diff(ranks) < 0).any():
+        by_rank = np.argsort(ranks, kind="stable")
+        values, lengths = take_rows(values, lengths, by_rank)
+        weights, ranks = weights[by_rank], ranks[by_rank]
     row = np.repeat(np.arange(len(lengths)), lengths)
     at = np.flatnonzero(row[1:] == row[:-1])
     if not len(at):
         empty = np.empty(0, np.int64)
-        return empty, empty, empty
+        return empty, empty, empty, empty
     key = (values[at].astype(np.int64) << 32) | values[at + 1]
-    owner = row[at]
-    index = at - (np.cumsum(lengths) - lengths)[owner]
+    # A stable sort leaves each pair's places in order.
     order = np.argsort(key, kind="stable")
-    key = key[order]
+    key, owner = key[order], row[at[order]]
     starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    cnt = np.add.reduceat(weights[owner][order], starts)
-    first = np.minimum.reduceat((ranks[owner] * span + index)[order], starts)
-    return key[starts], cnt, first
+    cnt = np.add.reduceat(weights[owner], starts)
+    first = owner[starts]
+    index = at[order[starts]] - (np.cumsum(lengths) - lengths)[first]
+    return key[starts], cnt, ranks[first], index
 
 
 def take_rows(values: np.ndarray, lengths: np.ndarray, picks: np.ndarray):
@@ -140,5 +144,8 @@ def take_rows(values: np.ndarray, lengths: np.ndarray, picks: np.ndarray):
 
 
 def to_list_array(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
-    offsets = np.r_[0, np.cumsum(lengths)].astype(np.int32)
+    offsets = np.r_[0, np.cumsum(lengths)]
+    if offsets[-1] > np.iinfo(np.int32).max:
+        raise OverflowError("a batch of over 2^31 tokens: lower spark.sql.execution.arrow.maxRecordsPerBatch")
+    offsets = offsets.astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))

@@ -82,14 +82,16 @@ def batch_schedule(micro_steps: DataFrame, lengths: DataFrame, B: int, T: int, g
     slots = numbered.withColumn(
         "batch_idx", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_batches") - 1))
     ).select("shard_id", "batch_idx", (F.col("before") + F.col("batch_idx")).alias("slot"))
-    total = served.agg(F.sum("n_batches")).first()[0]
+    total = served.agg(F.sum("n_batches")).first()[0] or 1  # without shards there is no slot to meet
     number = F.col("step").cast("bigint") * grad_accum + F.col("micro")
     wanted = micro_steps.withColumn("_n", number)
-    return wanted.select(
+    numbered_steps = wanted.select(
         *micro_steps.columns,
         F.expr(f"_n div {total}").alias("cycle"),
         F.expr(f"_n % {total}").alias("slot"),
-    ).join(slots, "slot").drop("slot")
+    )
+    # Few slots are broadcast; where they are too many for that, none is a hot key.
+    return join_bounded(numbered_steps, slots, "slot").drop("slot")
 
 
 def round_robin(df: DataFrame, index: str, world: int) -> DataFrame:

@@ -18,6 +18,7 @@ from ..functions import ragged
 from ..functions.codes import byte_codes, code_ids
 from ..functions.ragged import MergeRanks, list_rows, merge_rows, pair_totals, to_list_array
 from ..session import cut_lineage
+from .dictionary import corpus_position
 from .tokenizer import FIRST_MERGE_ID, Tokenizer
 
 cloudpickle.register_pickle_by_value(ragged)
@@ -84,12 +85,12 @@ def training_state(dictionary: DataFrame) -> DataFrame:
     return stored.select("tokens", "cnt", (offset + F.col("row")).alias("rank"))
 
 
-def pair_counts(state: DataFrame, span: int, merges=(), first_id: int = FIRST_MERGE_ID) -> DataFrame:
+def pair_counts(state: DataFrame, merges=(), first_id: int = FIRST_MERGE_ID) -> DataFrame:
     """(left, right, cnt, first) after applying `merges` to the state.
 
     Every Arrow batch is reduced to its distinct pairs before Spark combines
-    and shuffles them, so a round moves pair counts and never chunks. `span`
-    exceeds every pair index: rank * span + index orders corpus positions.
+    and shuffles them, so a round moves pair counts and never chunks. `first`
+    orders corpus positions, whatever their number and the chunks' lengths.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,11 +100,12 @@ def pair_counts(state: DataFrame, span: int, merges=(), first_id: int = FIRST_ME
             if len(merges):
                 values, lengths = merge_rows(values, lengths, table)
             weights, ranks = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("cnt", "rank"))
-            totals = pair_totals(values, lengths, weights, ranks, span)
-            yield pa.RecordBatch.from_arrays([pa.array(t) for t in totals], names=["pair", "cnt", "first"])
+            totals = pair_totals(values, lengths, weights, ranks)
+            yield pa.RecordBatch.from_arrays([pa.array(t) for t in totals], names=["pair", "cnt", "rank", "index"])
 
-    partial = state.select("tokens", "cnt", "rank").mapInArrow(count, "pair long, cnt long, first long")
-    totals = partial.groupBy("pair").agg(F.sum("cnt").alias("cnt"), F.min("first").alias("first"))
+    partial = state.select("tokens", "cnt", "rank").mapInArrow(count, "pair long, cnt long, rank long, index long")
+    first = F.min(corpus_position(F.col("rank"), F.col("index")))
+    totals = partial.groupBy("pair").agg(F.sum("cnt").alias("cnt"), first.alias("first"))
     return totals.select(
         F.shiftright("pair", 32).cast("int").alias("left"),
         F.col("pair").bitwiseAND((1 << 32) - 1).cast("int").alias("right"),
@@ -177,7 +179,6 @@ def train(
     if wanted == 0:
         return Training(Tokenizer(name, **made), (), 0)
     state = training_state(dictionary)
-    span = position_span(state)
     merges: list[tuple[int, int]] = []
     counts: list[int] = []
     folded = rounds = 0
@@ -187,7 +188,7 @@ def train(
                 advance(state, merges[folded:], FIRST_MERGE_ID + folded), "bpe-state"
             )
             folded = len(merges)
-        pending = pair_counts(state, span, merges[folded:], FIRST_MERGE_ID + folded)
+        pending = pair_counts(state, merges[folded:], FIRST_MERGE_ID + folded)
         best = [(r["left"], r["right"], r["cnt"]) for r in best_pairs(pending, _FETCH).collect()]
         rounds += 1
         if not best:
@@ -199,15 +200,6 @@ def train(
     return Training(Tokenizer(name, tuple(merges), **made), tuple(counts), rounds)
 
 
-def position_span(state: DataFrame) -> int:
-    """A bound on pair indexes, checked to leave room for every rank."""
-    longest, top_rank = state.agg(F.max(F.size("tokens")), F.max("rank")).first()
-    span = longest or 1
-    if (top_rank or 0) * span >= 1 << 62:
-        raise OverflowError("chunk positions exceed 62 bits")
-    return span
-
-
 def train_sizes(
     dictionary: DataFrame, vocab_sizes: list[int], pattern: str | None = None
 ) -> list[Tokenizer]:

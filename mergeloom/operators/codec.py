@@ -118,15 +118,12 @@ def encode_by_dictionary(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     hot = coded.filter(F.col("cnt") > floor).select("chunk", F.col("tokens").alias("hot"))
     cold = coded.filter(F.col("cnt") <= floor).select("chunk", F.col("tokens").alias("cold"))
     looked = join_bounded(rows, hot, "chunk", "left")
-    frequent = looked.filter(F.col("hot").isNotNull()).select(
-        "doc_id", "chunk_idx", F.col("hot").alias("ids")
-    )
-    rare = (
-        looked.filter(F.col("hot").isNull())
-        .join(cold, "chunk")
-        .select("doc_id", "chunk_idx", F.col("cold").alias("ids"))
-    )
-    pieces = frequent.unionByName(rare).groupBy("doc_id").agg(
+    # Rows that have their ids take part with keys that match nothing, spread by document.
+    spread = F.concat(F.lit("\x00"), F.col("doc_id").cast("string"))
+    keyed = looked.withColumn("rare", F.when(F.col("hot").isNull(), F.col("chunk")).otherwise(spread))
+    rest = cold.select(F.col("chunk").alias("rare"), "cold")
+    met = keyed.join(rest, "rare", "left").withColumn("ids", F.coalesce("hot", "cold"))
+    pieces = met.groupBy("doc_id").agg(
         F.array_sort(F.collect_list(F.struct("chunk_idx", "ids"))).alias("p")
     )
     tokens = pieces.select("doc_id", F.flatten(F.transform("p", lambda x: x["ids"])).alias("tokens"))
@@ -202,10 +199,24 @@ def out_of_range(tokens: Column | str) -> Column:
     return F.size(F.filter(tokens, lambda t: (t < 0) | (t >= MAX_TOKEN))).cast("bigint")
 
 
-def external_encoder(encode):
-    """Column encoder for an outside tokenizer's `encode(str) -> list[int]`."""
+def external_encoder(encode=None, encode_batch=None):
+    """Column encoder for an outside tokenizer: `encode(str) -> list[int]`, or
+    `encode_batch(list[str]) -> list[list[int]]` where it has one. NULL stays NULL."""
+
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: list(encode(t)))
+        known = texts.dropna()
+        ids = encode_batch(known.tolist()) if encode_batch else map(encode, known)
+        return pd.Series([list(i) for i in ids], known.index, dtype=object).reindex(texts.index)
+
+    return run
+
+
+def external_decoder(decode):
+    """Column decoder for an outside tokenizer's `decode(list[int]) -> str`."""
+
+    @F.pandas_udf(T.StringType())
+    def run(tokens: pd.Series) -> pd.Series:
+        return tokens.map(lambda ids: decode([int(i) for i in ids]), na_action="ignore")
 
     return run

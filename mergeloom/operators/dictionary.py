@@ -7,9 +7,25 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.codes import adjacent_pairs
 from ..functions.text import GPT4_PATTERN, chunks
 
-# A position packs into one bigint: 39 bits of doc_id, 24 bits of chunk index.
-_INDEX_BITS = 24
-_MAX_DOC = 1 << 39
+# A position in the corpus is doc_id * 2^31 + chunk index, exact as a decimal
+# for every bigint doc_id and every index that an array can have.
+_PLACES = "cast(2147483648 as decimal(10,0))"
+
+
+def corpus_position(doc_id: Column, index: Column) -> Column:
+    """One orderable number for (doc_id, index); decimals aggregate by hash."""
+    return doc_id.cast("decimal(19,0)") * F.expr(_PLACES) + index.cast("decimal(10,0)")
+
+
+def nested_position(position: Column, index: Column) -> Column:
+    """A place inside a position: 63 + 2 x 31 bits are below 10^38."""
+    return position * F.expr(_PLACES) + index.cast("decimal(10,0)")
+
+
+def position_parts(position: Column) -> tuple[Column, Column]:
+    """(doc_id, index) of a position, negative ids included."""
+    index = F.pmod(position, F.expr(_PLACES))
+    return ((position - index) / F.expr(_PLACES)).cast("bigint"), index.cast("int")
 
 
 def exploded_chunks(docs: DataFrame, pattern: str = GPT4_PATTERN, keep: list[str] | None = None) -> DataFrame:
@@ -18,40 +34,22 @@ def exploded_chunks(docs: DataFrame, pattern: str = GPT4_PATTERN, keep: list[str
     return docs.select(*keep, F.posexplode(chunks("text", pattern)).alias("chunk_idx", "chunk"))
 
 
-def chunk_dictionary(
-    docs: DataFrame,
-    pattern: str = GPT4_PATTERN,
-    group: list[str] | None = None,
-    wide_ids: bool = False,
-) -> DataFrame:
+def chunk_dictionary(docs: DataFrame, pattern: str = GPT4_PATTERN, group: list[str] | None = None) -> DataFrame:
     """Distinct chunks with count and first position, per group.
 
-    (group..., chunk, cnt, first_doc, first_idx). The aggregation combines on
-    the map side, so a chunk making up a third of the corpus costs one row per
-    task. The first position is one bigint while doc_id < 2^39 and a document
-    has < 2^24 chunks (hash aggregation); `wide_ids=True` lifts both limits
-    with a struct minimum. Out-of-range rows fail, they are never dropped.
+    (group..., chunk, cnt, first_doc, first_idx), for any bigint doc_id. The
+    aggregation combines on the map side, so a chunk making up a third of the
+    corpus costs one row per task.
     """
     group = group or []
     keys = list(dict.fromkeys([*group, "doc_id"]))
-    rows = exploded_chunks(docs, pattern, keys)
-    if wide_ids:
-        position: Column = F.struct(F.col("doc_id").alias("d"), F.col("chunk_idx").alias("i"))
-        first = (F.col("_p.d").alias("first_doc"), F.col("_p.i").alias("first_idx"))
-    else:
-        fits = F.col("doc_id").between(0, _MAX_DOC - 1) & (F.col("chunk_idx") < (1 << _INDEX_BITS))
-        packed = F.shiftleft(F.col("doc_id").cast("bigint"), _INDEX_BITS) + F.col("chunk_idx")
-        position = F.when(fits, packed).otherwise(
-            F.raise_error(F.lit("doc_id or chunk index too large: use wide_ids=True")).cast("bigint")
-        )
-        first = (
-            F.shiftright("_p", _INDEX_BITS).alias("first_doc"),
-            F.col("_p").bitwiseAND((1 << _INDEX_BITS) - 1).cast("int").alias("first_idx"),
-        )
+    position = corpus_position(F.col("doc_id"), F.col("chunk_idx"))
+    doc, index = position_parts(F.col("_p"))
     return (
-        rows.groupBy(*group, "chunk")
+        exploded_chunks(docs, pattern, keys)
+        .groupBy(*group, "chunk")
         .agg(F.count(F.lit(1)).alias("cnt"), F.min(position).alias("_p"))
-        .select(*group, "chunk", "cnt", *first)
+        .select(*group, "chunk", "cnt", doc.alias("first_doc"), index.alias("first_idx"))
     )
 
 

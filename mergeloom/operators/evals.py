@@ -2,28 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from .joins import join_back
+
+
+_STEP = 256.0
 
-def position_loss(scores: DataFrame, keys: list[str]) -> DataFrame:
-    """Cross-entropy per position from (keys..., cand, logit, target).
 
-    log-sum-exp minus the target's logit, in two map-side-combined
-    aggregations: the maximum, then the shifted sum.
+def log_mass(rows: DataFrame, keys: list[str], logit: str, *extra: Column) -> DataFrame:
+    """(keys..., peak, mass, extra...): the maximum and sum(exp(logit - peak)) per key.
+
+    Logits are summed in bands of 256, each relative to its own base, which
+    neither overflows nor needs the maximum first. So the rows are aggregated once,
+    combined on the map side; what follows has a row per key and band. `extra` are further
+    aggregates by maximum, named.
     """
-    peak = scores.groupBy(*keys).agg(
-        F.max("logit").alias("peak"),
-        F.max(F.when(F.col("cand") == F.col("target"), F.col("logit"))).alias("hit"),
+    band = F.floor(F.col(logit) / _STEP)
+    bands = rows.groupBy(*keys, band.alias("_band")).agg(
+        F.max(logit).alias("_top"), F.sum(F.exp(F.col(logit) - F.floor(F.col(logit) / _STEP) * _STEP)).alias("_sum"), *extra
     )
-    shifted = scores.select(*keys, "logit").join(peak, keys)
-    return (
-        shifted.groupBy(*keys)
-        .agg(
-            F.first("peak").alias("peak"),
-            F.first("hit").alias("hit"),
-            F.sum(F.exp(F.col("logit") - F.col("peak"))).alias("mass"),
-        )
-        .select(*keys, (F.col("peak") + F.log("mass") - F.col("hit")).alias("loss"))
+    names = [c for c in bands.columns if c not in (*keys, "_band", "_top", "_sum")]
+    peak = F.max("_top").over(W.partitionBy(*keys))
+    scaled = bands.withColumn("peak", peak).withColumn("_sum", F.col("_sum") * F.exp(F.col("_band") * _STEP - F.col("peak")))
+    return scaled.groupBy(*keys).agg(
+        F.max("peak").alias("peak"), F.sum("_sum").alias("mass"), *[F.max(c).alias(c) for c in names]
+    )
+
+
+def position_loss(scores: DataFrame, keys: list[str]) -> DataFrame:
+    """Cross-entropy per position from (keys..., cand, logit, target):
+    log-sum-exp minus the target's logit, in one pass over the rows."""
+    hit = F.max(F.when(F.col("cand") == F.col("target"), F.col("logit"))).alias("hit")
+    return log_mass(scores, keys, "logit", hit).select(
+        *keys, (F.col("peak") + F.log("mass") - F.col("hit")).alias("loss")
     )
 
 
@@ -54,14 +66,12 @@ def masked_loss(rows: DataFrame, loss: str = "loss", extra: list[str] | None = N
     )
 
 
-def predictions(candidates: DataFrame) -> DataFrame:
-    """(example_id, pred): lowest mean loss, ties to the lowest candidate;
-    candidates without a mean never win."""
-    known = candidates.filter(F.col("avg_loss").isNotNull())
-    best = F.min(F.struct("avg_loss", "cand_id"))
-    return known.groupBy("example_id").agg(best.alias("b")).select(
-        "example_id", F.col("b.cand_id").alias("pred")
-    )
+def predictions(candidates: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    """(example_id, extra..., pred): lowest mean loss, ties to the lowest candidate;
+    candidates without a mean never win. `extra` columns depend on the example only."""
+    keys = ["example_id", *(extra or [])]
+    tied = candidates.filter(F.col("avg_loss").isNotNull()).groupBy(*keys, "avg_loss").agg(F.min("cand_id").alias("cand_id"))
+    return tied.groupBy(*keys).agg(F.min_by("cand_id", "avg_loss").alias("pred"))
 
 
 def accuracy(preds: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -75,14 +85,11 @@ def accuracy(preds: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 
 def softmax(rows: DataFrame, key: str, logit: str) -> DataFrame:
-    """Add `prob` within each key: two aggregations and joins back instead of a
-    window, so a key with a third of all rows stays spread over tasks."""
-    peak = rows.groupBy(key).agg(F.max(logit).alias("_peak"))
-    raised = rows.join(peak, key).withColumn("_w", F.exp(F.col(logit) - F.col("_peak")))
-    mass = raised.groupBy(key).agg(F.sum("_w").alias("_mass"))
-    return raised.join(mass, key).withColumn("prob", F.col("_w") / F.col("_mass")).drop(
-        "_peak", "_w", "_mass"
-    )
+    """Add `prob` within each key: one aggregation and one join back, split by
+    a salt, so a key with a third of all rows stays spread over tasks."""
+    totals = log_mass(rows, [key], logit).select(key, F.col("peak").alias("_peak"), F.col("mass").alias("_mass"))
+    share = F.exp(F.col(logit) - F.col("_peak")) / F.col("_mass")
+    return join_back(rows, totals, key).withColumn("prob", share).drop("_peak", "_mass")
 
 
 def top_candidates(rows: DataFrame, key: str, cand: str, prob: str, k: int = 50) -> DataFrame:
@@ -95,12 +102,10 @@ def weighted_draw(rows: DataFrame, key: str, cand: str, prob: str, seed: int, k:
     """One candidate per key among the top k, in proportion to `prob`.
 
     An exponential clock per candidate: the smallest -ln(u)/prob wins, with u
-    from a hash of (seed, key, candidate), so retries draw the same rows.
+    from 52 bits of an md5 of (seed, key, candidate), so retries, and other engines, draw the same rows.
     """
     kept = top_candidates(rows.filter(F.col(prob) > 0), key, cand, prob, k)
-    bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key), F.col(cand)), 11)
-    u = (bits + 1) / F.lit(float(1 << 53))
-    clock = -F.log(u) / F.col(prob)
-    return kept.groupBy(key).agg(F.min(F.struct(clock.alias("c"), F.col(cand).alias("d"))).alias("b")).select(
-        key, F.col("b.d").alias(cand)
-    )
+    named = F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"), F.col(cand).cast("string"))
+    bits = F.conv(F.substring(F.md5(named.cast("binary")), 1, 13), 16, 10).cast("bigint")
+    clock = -F.log((bits + 1) / F.lit(float(1 << 52))) / F.col(prob)
+    return kept.groupBy(key).agg(F.min_by(cand, clock).alias(cand))

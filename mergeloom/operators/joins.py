@@ -36,3 +36,14 @@ def join_bounded(
     if measured_bytes(stored) <= limit:
         stored = F.broadcast(stored)
     return left.join(stored, on, how)
+
+
+def join_back(rows: DataFrame, totals: DataFrame, key: str, salts: int = 16) -> DataFrame:
+    """Rows with their key's totals (one row per key), as an inner join.
+
+    Each key is split into `salts` parts by a hash of the whole row, and its totals
+    are repeated for each, so a key with a third of all rows is many tasks' work.
+    """
+    part = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
+    repeated = totals.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return rows.withColumn("_part", part).join(repeated, [key, "_part"]).drop("_part")

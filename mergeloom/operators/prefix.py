@@ -24,14 +24,14 @@ def range_bounds(df: DataFrame, key: str, parts: int) -> list[int]:
     """At most parts-1 ascending integer boundaries.
 
     Picked from about 32 keys per range, the only rows that reach the driver.
-    A hash of the key selects them, so there is no merging of sketches in one
-    task and a retried task selects the same ones.
+    A hash of the row's columns (its group and key) selects them, so there is no
+    merging of sketches in one task, a retried task selects the same ones, and a
+    key that every group has doesn't bring one row per group.
     """
     if parts < 2:
         return []
-    keys = df.select(key)
-    step = max(1, keys.count() // (_SAMPLES * parts))
-    picked = keys.filter(F.pmod(F.xxhash64(key), F.lit(step)) == 0)
+    step = max(1, df.count() // (_SAMPLES * parts))
+    picked = df.filter(F.pmod(F.xxhash64(*df.columns), F.lit(step)) == 0).select(key)
     sample = sorted(r[0] for r in picked.collect() if r[0] is not None)
     return sorted({sample[len(sample) * i // parts] for i in range(1, parts)} if sample else set())
 
@@ -72,7 +72,7 @@ def running(
     group = group or []
     # A few ranges per shuffle partition even out their sizes.
     parts = parts or 3 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = range_bounds(df.select(key), key, parts)
+    bounds = range_bounds(df.select(*group, key), key, parts)
     ranged = df.withColumn("_range", range_index(key, bounds))
     totals = ranged.groupBy(*group, "_range").agg(
         *[_FOLDS[fold](value).alias(f"_t_{out}") for out, (fold, value, _) in columns.items()]

@@ -8,7 +8,7 @@ from ..functions.text import byte_length, word_count
 from ..session import cut_lineage
 from ..sources.corpus import with_separators
 from .codec import decode_column, encode_chunks, encode_documents
-from .dictionary import chunk_dictionary
+from .dictionary import chunk_dictionary, corpus_position, nested_position
 from .tokenizer import FIRST_MERGE_ID, Tokenizer
 
 _KEYS = ["sample", "tokenizer"]
@@ -25,8 +25,10 @@ def token_counts(dictionary: DataFrame, tokenizers: list[Tokenizer]) -> DataFram
     tokens = coded.select(
         *_KEYS, "cnt", "first_doc", "first_idx", F.posexplode("tokens").alias("pos", "id")
     )
+    # One number per place: its minimum is a hash aggregate, without sorting the tokens.
+    place = nested_position(corpus_position(F.col("first_doc"), F.col("first_idx")), F.col("pos"))
     return tokens.groupBy(*_KEYS, "id").agg(
-        F.sum("cnt").alias("cnt"), F.min(F.struct("first_doc", "first_idx", "pos")).alias("first")
+        F.sum("cnt").alias("cnt"), F.min(place).alias("first")
     )
 
 
@@ -35,7 +37,7 @@ def document_token_counts(coded: DataFrame) -> DataFrame:
     for encoders that do not work chunk by chunk."""
     tokens = coded.select(*_KEYS, "doc_id", F.posexplode("tokens").alias("pos", "id"))
     return tokens.groupBy(*_KEYS, "id").agg(
-        F.count(F.lit(1)).alias("cnt"), F.min(F.struct("doc_id", "pos")).alias("first")
+        F.count(F.lit(1)).alias("cnt"), F.min(corpus_position(F.col("doc_id"), F.col("pos"))).alias("first")
     )
 
 
@@ -184,13 +186,23 @@ def _sample_roundtrip(texts: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     )
 
 
-def compare_encoders(samples: DataFrame, encoders: dict, sizes: dict[str, int | None], top_n: int = 20) -> DataFrame:
-    """Report for any named `Column -> Column` encoders over separate texts."""
-    coded = None
+def compare_encoders(
+    samples: DataFrame, encoders: dict, sizes: dict[str, int | None], top_n: int = 20, decoders: dict | None = None
+) -> DataFrame:
+    """Report for any named `Column -> Column` encoders over separate texts.
+
+    `roundtrip` tells whether the named decoder, a `Column -> Column` too, gives every text
+    back; it is NULL for encoders without one.
+    """
+    coded = checks = None
+    for name, decoder in (decoders or {}).items():
+        same = F.coalesce(decoder(encoders[name](F.col("text"))) == F.col("text"), F.col("text").isNull())
+        check = samples.groupBy("sample").agg(F.bool_and(same).alias("roundtrip")).withColumn("tokenizer", F.lit(name))
+        checks = check if checks is None else checks.unionByName(check)
     for name, encoder in encoders.items():
         part = samples.select(
             "sample", F.lit(name).alias("tokenizer"), "doc_id", encoder(F.col("text")).alias("tokens")
         )
         coded = part if coded is None else coded.unionByName(part)
     sizes = {name: sizes.get(name) for name in encoders}
-    return report_from_counts(document_token_counts(coded), sample_totals(samples), sizes, top_n)
+    return report_from_counts(document_token_counts(coded), sample_totals(samples), sizes, top_n, checks)

@@ -101,13 +101,13 @@ def best_so_far(val_log: DataFrame) -> DataFrame:
 
 
 def run_summary(train_log: DataFrame, val_log: DataFrame, configs: DataFrame) -> DataFrame:
-    """One row per run: best validation, last step, time, early-stop flag."""
+    """One row per run: all columns of its config, best validation, last step,
+    time, early-stop flag."""
     ends = train_log.groupBy("run_name").agg(
         F.max("step").alias("last_step"), F.max("elapsed_seconds").alias("elapsed_seconds")
     )
     return (
-        configs.select("run_name", "max_steps")
-        .join(ends, "run_name", "left")
+        configs.join(ends, "run_name", "left")
         .join(best_validation(val_log), "run_name", "left")
         .withColumn("stopped_due_to_time", F.col("last_step") < F.col("max_steps") - 1)
     )

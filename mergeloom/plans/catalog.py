@@ -6,18 +6,23 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import codes, text as tx
 from ..operators import batches, codec, dictionary, evals, packing, report, runlogs
-from ..operators.bpe_train import Training, best_pairs, pair_counts, position_span, train, training_state
+from ..operators.bpe_train import Training, best_pairs, pair_counts, train, training_state
 from ..operators.prefix import dense_index
 from ..operators.quota import quota_split
 from ..operators.tokenizer import Tokenizer, merges_table, specials_table, vocab_table
 from ..session import cut_lineage, new_path
 from ..sources import corpus, models, runlogs as log_files, shards
+from ..sources.evals import read_eval_rows
 from ..streaming import streams
 from . import derived
-from .comparison import train_and_report
-
-MERGES = 8
-ROLES = {"<|user|>": 300, "<|assistant|>": 301, "<|system|>": 302}
+from .comparison import train_and_report, train_and_save
+
+# Enough merges for nested tokens and for a rewrite of the training state.
+MERGES = 72
+FEW = 32
+BIG, SMALL = f"regex_vocab_{256 + MERGES}", f"regex_vocab_{256 + FEW}"
+FIRST_ROLE = 400
+ROLES = {"<|user|>": FIRST_ROLE, "<|assistant|>": FIRST_ROLE + 1, "<|system|>": FIRST_ROLE + 2}
 EOT = 256 + MERGES
 SHARD = 100_000
 B, T, WORLD = 4, 256, 2
@@ -35,7 +40,7 @@ def _once(spark: SparkSession, sf: str, name: str, make):
 
 
 def forget() -> None:
-    """Drop what queries share, so that each is timed with all its work."""
+    """Drop what queries share, so that the next one is timed with all its work."""
     _shared.clear()
 
 
@@ -50,7 +55,7 @@ def joined_docs(spark, sf) -> DataFrame:
 def training(spark, sf) -> Training:
     return _once(
         spark, sf, "training",
-        lambda: train(dictionary.chunk_dictionary(joined_docs(spark, sf)), 256 + MERGES, "regex_vocab_264"),
+        lambda: train(dictionary.chunk_dictionary(joined_docs(spark, sf)), 256 + MERGES, BIG),
     )
 
 
@@ -59,7 +64,7 @@ def tokenizer(spark, sf) -> Tokenizer:
 
 
 def tokenizers(spark, sf) -> list[Tokenizer]:
-    return [tokenizer(spark, sf), tokenizer(spark, sf).prefix(260, "regex_vocab_260")]
+    return [tokenizer(spark, sf), tokenizer(spark, sf).prefix(256 + FEW, SMALL)]
 
 
 def token_docs(spark, sf) -> DataFrame:
@@ -192,6 +197,27 @@ def s9_csv_log_scan(spark, sf):
     return log_files.read_csv_logs(spark, path).select("run_name", "step", "train_loss", "elapsed_seconds")
 
 
+ODD_NAME = " lr 1e-3:a+b%é"
+
+
+def s9_val_log_scan(spark, sf):
+    """Validation logs of runs whose names need escaping in a path."""
+    path = new_path(spark, "csv-val-logs")
+    rows = val_log(spark, sf).withColumn("run_name", F.concat("run_name", F.lit(ODD_NAME)))
+    order = [f.split()[0] for f in log_files.VAL_LOG_SCHEMA.split(", ")]
+    empty = {c: F.lit(None).cast("double") for c in order if c not in rows.columns}
+    log_files.append_csv_logs(rows.withColumns(empty).select("run_name", *order), path)
+    back = log_files.read_csv_logs(spark, path, log_files.VAL_LOG_SCHEMA)
+    return back.select("run_name", "step", "val_loss", "elapsed_seconds")
+
+
+def s10_eval_reader(spark, sf):
+    path = new_path(spark, "evals")
+    rows = derived.eval_positions(spark, sf).withColumn("label", F.col("example_id") % 4)
+    rows.select("example_id", "cand_id", F.col("pos").cast("int"), "loss", "mask", F.col("label").cast("int")).write.parquet(path)
+    return read_eval_rows(spark, path)
+
+
 def s10_eval_scan(spark, sf):
     return derived.eval_loss(spark, sf)
 
@@ -211,7 +237,7 @@ def k1_shard_write(spark, sf):
 
 def k2_model_save(spark, sf):
     _saved_models(spark, sf)
-    lines = models.read_model_lines(spark, _saved_models(spark, sf) + "/regex_vocab_264.model")
+    lines = models.read_model_lines(spark, _saved_models(spark, sf) + f"/{BIG}.model")
     return lines.select("line_no", "value")
 
 
@@ -219,6 +245,12 @@ def k3_vocab_listing(spark, sf):
     return models.vocab_listing(spark, [tokenizer(spark, sf)]).select("id", "line")
 
 
+def k3_vocab_file(spark, sf):
+    path = new_path(spark, "vocab")
+    models.save_vocab(spark, tokenizer(spark, sf), path)
+    return spark.read.text(f"{path}/{BIG}.vocab").select(F.col("value").alias("line"))
+
+
 def k4_report_sink(spark, sf):
     path = new_path(spark, "report")
     full = report.compare_tokenizers(by_language(spark, sf), tokenizers(spark, sf))
@@ -239,6 +271,13 @@ def k6_train_sizes(spark, sf):
     return merges_table(spark, tokenizers(spark, sf))
 
 
+def k6_train_and_save(spark, sf):
+    """Both sizes trained in one go, written as model files and read back."""
+    path = new_path(spark, "trained")
+    train_and_save(docs(spark, sf), [256 + FEW, 256 + MERGES], path)
+    return merges_table(spark, models.load_models(spark, f"{path}/*.model"))
+
+
 # ---- projections and predicates --------------------------------------------
 
 def p1_byte_length(spark, sf):
@@ -269,7 +308,7 @@ def p5_special_subset(spark, sf):
     parts = None
     for name, allowed in (("all", "all"), ("none", "none"), ("user", {"<|user|>"})):
         coded = codec.encode_documents(chat, tok, allowed)
-        special = F.size(F.filter("tokens", lambda t: t >= 300)).cast("bigint")
+        special = F.size(F.filter("tokens", lambda t: t >= FIRST_ROLE)).cast("bigint")
         part = coded.agg(
             F.sum(special).alias("specials"), F.sum(F.size("tokens").cast("bigint")).alias("tokens")
         ).withColumn("mode", F.lit(name))
@@ -474,7 +513,7 @@ def a2_incremental_counts(spark, sf):
 
 def a3_best_pair(spark, sf):
     state = training_state(dictionary.chunk_dictionary(joined_docs(spark, sf)))
-    return best_pairs(pair_counts(state, position_span(state)), 1).select("left", "right", "cnt")
+    return best_pairs(pair_counts(state), 1).select("left", "right", "cnt")
 
 
 def a4_chunk_dictionary(spark, sf):
@@ -538,8 +577,10 @@ def a14_best_validation(spark, sf):
 
 
 def _schedules(spark, sf):
-    """(run_name, max_steps) of the logged runs."""
-    return runlogs.schedule_parameters(derived.log_configs(spark, sf)).select("run_name", "max_steps")
+    """Schedules of the logged runs."""
+    return runlogs.schedule_parameters(derived.log_configs(spark, sf)).select(
+        "run_name", "max_steps", "warmup_steps", "max_lr", "min_lr"
+    )
 
 
 def a15_run_summary(spark, sf):
@@ -558,9 +599,15 @@ def a17_predictions(spark, sf):
     return evals.predictions(_candidates(spark, sf))
 
 
+def a16_shifted_mask(spark, sf):
+    """Each position's loss counts under the mask of the next one."""
+    aligned = evals.shift_mask(derived.eval_positions(spark, sf))
+    scored = evals.masked_loss(aligned)
+    return scored.select("example_id", "cand_id", F.col("loss_sum").cast("bigint").alias("loss_sum"), "mask_sum")
+
+
 def _scored(spark, sf):
-    labels = derived.eval_loss(spark, sf).groupBy("example_id").agg(F.max("label").alias("label"))
-    return evals.predictions(_candidates(spark, sf)).join(labels, "example_id")
+    return evals.predictions(_candidates(spark, sf), ["label"])
 
 
 def a18_accuracy(spark, sf):
@@ -639,7 +686,7 @@ def j6_contains_special(spark, sf):
 
 def j7_logs_with_config(spark, sf):
     log = train_log(spark, sf).groupBy("run_name").agg(F.max("step").alias("last_step"))
-    return log.join(_schedules(spark, sf), "run_name")
+    return log.join(_schedules(spark, sf).select("run_name", "max_steps"), "run_name")
 
 
 def j8_document_shards(spark, sf):
@@ -770,7 +817,7 @@ def u1_disjoint_split(spark, sf):
 def u2_allowed_specials(spark, sf):
     roles = corpus.table(spark, sf, "conversations").select(F.concat(F.lit("<|"), "role", F.lit("|>")).alias("token"))
     registered = specials_table(spark, [tokenizer(spark, sf).with_specials(ROLES)])
-    return registered.join(roles, "token", "left_semi").select("token", "id")
+    return registered.join(roles.distinct(), "token", "left_semi").select("token", "id")
 
 
 def u3_union_logs(spark, sf):
@@ -807,7 +854,7 @@ def st3_run_metrics_stream(spark, sf):
 
 
 def st4_shard_fill_stream(spark, sf):
-    coded = streams.encode_stream(streams.document_stream(spark, sf), tokenizer(spark, sf))
+    coded = codec.token_documents(streams.document_stream(spark, sf), tokenizer(spark, sf), EOT)
     path, checkpoint = _stream_paths(spark, "fill")
     pieces = streams.ShardFill(path, SHARD).run(coded, checkpoint)
     return pieces.select("split", "shard_id", "start", "doc_id", digest("tokens").alias("digest"))
@@ -819,9 +866,13 @@ def f1_custom_pattern(spark, sf):
 
 
 def f2_outside_encoder(spark, sf):
-    encoder = codec.external_encoder(lambda s: s.encode("utf-8"))
-    rows = report.compare_encoders(by_language(spark, sf), {"raw_bytes": encoder}, {"raw_bytes": 256})
+    encoder = codec.external_encoder(encode_batch=lambda texts: [s.encode("utf-8") for s in texts])
+    decoder = codec.external_decoder(lambda ids: bytes(ids).decode("utf-8"))
+    rows = report.compare_encoders(
+        by_language(spark, sf), {"raw_bytes": encoder}, {"raw_bytes": 256}, decoders={"raw_bytes": decoder}
+    )
     return rows.select(
+        "roundtrip",
         "sample", "tokenizer", "bytes", "tokens", "unique_tokens",
         F.round("compression_ratio", 6).alias("compression_ratio"),
     )
@@ -829,14 +880,14 @@ def f2_outside_encoder(spark, sf):
 
 def f3_special_vocab(spark, sf):
     tok = tokenizer(spark, sf).with_specials(ROLES)
-    vocab = vocab_table(spark, [tok]).filter(F.col("id") >= 300)
+    vocab = vocab_table(spark, [tok]).filter(F.col("id") >= FIRST_ROLE)
     used = codec.encode_documents(derived.chat_text(spark, sf), tok, "all")
     ids = used.select(F.explode("tokens").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("cnt"))
     return vocab.join(ids, "id", "left").select("id", F.decode("bytes", "UTF-8").alias("token"), F.coalesce("cnt", F.lit(0)).alias("cnt"))
 
 
 def train_and_report_query(spark, sf):
-    rows = train_and_report(docs(spark, sf), [260, 264])
+    rows = train_and_report(docs(spark, sf), [256 + FEW, 256 + MERGES])
     return rows.select("sample", "tokenizer", "bytes", "words", "tokens", "unique_tokens", "vocab_size")
 
 

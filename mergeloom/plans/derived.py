@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.joins import join_bounded
+from ..operators.joins import join_back, join_bounded
 from ..operators.prefix import dense_index
 from ..operators.runlogs import VAL_EVERY, is_validation_step, with_last_step
 from ..sources.corpus import table
@@ -69,7 +69,20 @@ def probabilities(score_rows: DataFrame) -> DataFrame:
     """(row_id, cand, prob): each candidate's share of its row."""
     mass = score_rows.groupBy("row_id").agg(F.sum(F.round(F.col("logit") * 100).cast("bigint")).alias("mass"))
     share = F.round(F.col("logit") * 100) / F.col("mass")
-    return score_rows.join(mass, "row_id").select("row_id", "cand", share.alias("prob"))
+    return join_back(score_rows, mass, "row_id").select("row_id", "cand", share.alias("prob"))
+
+
+def eval_positions(spark: SparkSession, sf: str) -> DataFrame:
+    """(example_id, cand_id, pos, loss, mask): a user's events as token positions
+    of four candidates; the mask belongs to the position's token."""
+    events = table(spark, sf, "events").select(
+        F.col("user_id").alias("example_id"),
+        (F.col("event_id") % 4).cast("int").alias("cand_id"),
+        "event_id",
+        F.round(F.col("value") * 100).cast("double").alias("loss"),
+        (F.col("event_type") != "view").cast("int").alias("mask"),
+    )
+    return dense_index(events, "event_id", "pos", ["example_id", "cand_id"]).drop("event_id")
 
 
 def chat_text(spark: SparkSession, sf: str) -> DataFrame:

@@ -7,7 +7,7 @@ missing look-ahead, bytes through hex, training as a chain of CTEs.
 from __future__ import annotations
 
 from ..functions.text import GPT4_PATTERN
-from .catalog import B, EOT, MERGES, ROLES, SHARD, T, WORLD
+from .catalog import B, BIG, EOT, FEW, FIRST_ROLE, MERGES, ODD_NAME, ROLES, SHARD, SMALL, T, WORLD
 
 _ROLE_RE = "(<\\|user\\|>|<\\|assistant\\|>|<\\|system\\|>)"
 
@@ -205,7 +205,7 @@ _LANG_JOINED = """lj AS (SELECT lang, doc_id, text || CASE WHEN doc_id = max(doc
 def _token_counts() -> list[str]:
     """CTE tc (sample, tokenizer, id, cnt, f) for both vocabularies by language."""
     per = []
-    for name, upto in (("regex_vocab_264", MERGES), ("regex_vocab_260", 4)):
+    for name, upto in ((BIG, MERGES), (SMALL, FEW)):
         per.append(f"""SELECT lang AS sample, '{name}' AS tokenizer, ord(ch) - 256 AS id, sum(cnt)::BIGINT AS cnt,
           min({{'d': d, 'i': i, 'j': j}}) AS f
           FROM (SELECT lang, cnt, d, i, unnest(string_split(s, '')) AS ch, unnest(range(length(s))) AS j
@@ -222,11 +222,11 @@ def _token_counts() -> list[str]:
            sum(len(regexp_extract_all(text, '\\S+')))::BIGINT AS words FROM lj GROUP BY lang)""",
         """ranked AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY sample, tokenizer ORDER BY cnt DESC, f) AS place
            FROM tc)""",
-        """metrics AS MATERIALIZED (SELECT sample, tokenizer, any_value(tokens) AS tokens, count(*) AS uniq,
+        f"""metrics AS MATERIALIZED (SELECT sample, tokenizer, any_value(tokens) AS tokens, count(*) AS uniq,
            -sum(cnt / tokens * log2(cnt / tokens)) AS entropy, max(cnt) AS top_cnt,
            sum(CASE WHEN place <= 20 THEN cnt ELSE 0 END)::BIGINT AS top_n,
            sum(CASE WHEN id < 256 THEN cnt ELSE 0 END)::BIGINT AS byte_cnt,
-           CASE tokenizer WHEN 'regex_vocab_264' THEN 264 ELSE 260 END AS v
+           CASE tokenizer WHEN '{BIG}' THEN {256 + MERGES} ELSE {256 + FEW} END AS v
            FROM ranked JOIN tt USING (sample, tokenizer) GROUP BY sample, tokenizer)""",
     ]
 
@@ -247,11 +247,15 @@ _VOCAB = (
     "vocab AS MATERIALIZED (SELECT i::INT AS id, NULL::INT AS \"left\", NULL::INT AS \"right\", printf('%02X', i::INT) AS h "
     "FROM range(0, 256) t(i) UNION ALL SELECT id::INT, \"left\"::INT, \"right\"::INT, " + _HEX + " FROM exp)"
 )
-# Shown form of a byte string given as hex; merged tokens are ASCII here.
+# Shown form of a byte string given as hex: broken characters at either end (two-byte
+# characters are the longest in these texts) and escapes of control characters.
+_BROKEN_START = "regexp_extract(h, '^((?:[89AB][0-9A-F])*)', 1)"
+_BROKEN_END = "regexp_extract(h, '^(?:..)*?([C-F][0-9A-F])?$', 1)"
+_WHOLE = f"substr(h, length({_BROKEN_START}) + 1, length(h) - length({_BROKEN_START}) - length({_BROKEN_END}))"
 _SHOWN = (
-    "CASE WHEN length(h) = 2 AND ('0x' || h)::INT >= 128 THEN chr(65533) "
-    "WHEN length(h) = 2 AND (('0x' || h)::INT < 32 OR ('0x' || h)::INT = 127) THEN '\\u00' || lower(h) "
-    "ELSE decode(unhex(h)) END"
+    f"repeat(chr(65533), (length({_BROKEN_START}) // 2)::INT) || array_to_string(list_transform(string_split(decode(unhex({_WHOLE})), ''), "
+    "lambda c: CASE WHEN c = '' THEN '' WHEN ord(c) < 32 OR ord(c) = 127 THEN '\\u00' || lower(printf('%02X', ord(c))) ELSE c END), '')"
+    f" || CASE WHEN {_BROKEN_END} = '' THEN '' ELSE chr(65533) END"
 )
 
 
@@ -296,14 +300,14 @@ def sql() -> dict[str, str]:
         f"SELECT shard_id, start, doc_id, {_digest()} AS digest FROM pieces WHERE split = 'train'"
     )
     both = (
-        "SELECT 'regex_vocab_264' AS tokenizer, rank::INT AS rank, \"left\"::INT AS \"left\", \"right\"::INT AS \"right\", id::INT AS id "
-        "FROM merges UNION ALL SELECT 'regex_vocab_260', rank::INT, \"left\"::INT, \"right\"::INT, id::INT FROM merges WHERE rank < 4"
+        f"SELECT '{BIG}' AS tokenizer, rank::INT AS rank, \"left\"::INT AS \"left\", \"right\"::INT AS \"right\", id::INT AS id "
+        f"FROM merges UNION ALL SELECT '{SMALL}', rank::INT, \"left\"::INT, \"right\"::INT, id::INT FROM merges WHERE rank < {FEW}"
     )
     q["s6_model_import"] = _with(_TRAIN) + both
     q["k6_train_sizes"] = q["s6_model_import"]
     q["s7_model_discovery"] = _with(_TRAIN) + (
-        "SELECT 'regex_vocab_264' AS tokenizer, 1 AS n_specials, count(*) AS n_merges FROM merges "
-        "UNION ALL SELECT 'regex_vocab_260', 1, count(*) FROM merges WHERE rank < 4"
+        f"SELECT '{BIG}' AS tokenizer, 1 AS n_specials, count(*) AS n_merges FROM merges "
+        f"UNION ALL SELECT '{SMALL}', 1, count(*) FROM merges WHERE rank < {FEW}"
     )
     q["s8_text_log_scan"] = _with(*_LOGS) + (
         "SELECT run_name, step::INT AS step, 'train' AS kind, round(train_loss, 4) AS value FROM log "
@@ -311,6 +315,10 @@ def sql() -> dict[str, str]:
     )
     q["s9_csv_log_scan"] = _with(_LOG) + "SELECT run_name, step, train_loss, elapsed_seconds FROM log"
     q["s10_eval_scan"] = _with(_EVAL) + "SELECT * FROM evals"
+    q["s10_eval_reader"] = """SELECT user_id AS example_id, (event_id % 4)::INT AS cand_id,
+        (row_number() OVER (PARTITION BY user_id, event_id % 4 ORDER BY event_id) - 1)::INT AS pos, round(value * 100) AS loss,
+        (event_type <> 'view')::INT AS mask, (user_id % 4)::INT AS label FROM events"""
+    q["s9_val_log_scan"] = _with(*_LOGS) + f"SELECT run_name || {_q(ODD_NAME)} AS run_name, step, val_loss, elapsed_seconds FROM val"
     q["s11_config_table"] = _with(_CONFIGS) + """SELECT min(ord) AS position, run_name, arg_max(n_layer, ord) AS n_layer,
         arg_max(block_size, ord) AS block_size, arg_max(total_batch_size, ord) AS total_batch_size,
         arg_max(max_tokens, ord) AS max_tokens FROM configs GROUP BY run_name"""
@@ -328,6 +336,8 @@ def sql() -> dict[str, str]:
         ELSE '[' || a.s || '][' || b.s || '] -> [' || v.s || '] ' || v.id END AS line
         FROM (SELECT *, {_SHOWN} AS s FROM vocab) v LEFT JOIN (SELECT id, {_SHOWN} AS s FROM vocab) a ON a.id = v.\"left\"
         LEFT JOIN (SELECT id, {_SHOWN} AS s FROM vocab) b ON b.id = v.\"right\""""
+    q["k3_vocab_file"] = f"SELECT line FROM ({q['k3_vocab_listing']})"
+    q["k6_train_and_save"] = q["k6_train_sizes"]
     tc = _token_counts()
     q["k4_report_sink"] = _with(*tc) + (
         "SELECT sample, tokenizer, bytes, words, tokens, uniq AS unique_tokens FROM metrics JOIN totals USING (sample)"
@@ -409,7 +419,7 @@ def sql() -> dict[str, str]:
     )
     for alias in ("parts", "pchunks", "pdict", "chat_enc"):
         user_parts = user_parts.replace(alias, "u_" + alias)
-    special_n = "len(list_filter(string_split(code, ''), lambda x: ord(x) - 256 >= 300))"
+    special_n = "len(list_filter(string_split(code, ''), lambda x: ord(x) - 256 >= " + f"{FIRST_ROLE}))"
     q["p5_special_subset"] = _with(_TRAIN, _CHAT, _CHAT_PARTS, user_parts, plain_chat) + " UNION ALL ".join(
         f"SELECT sum({special_n})::BIGINT AS specials, sum(length(code))::BIGINT AS tokens, '{mode}' AS mode FROM {cte}"
         for mode, cte in (("all", "chat_enc"), ("none", "plain"), ("user", "u_chat_enc"))
@@ -463,11 +473,15 @@ def sql() -> dict[str, str]:
     )
     best = "best AS (SELECT run_name, min(val_loss) AS best_val_loss, arg_min(step, {'l': val_loss, 's': step}) AS best_val_step FROM val GROUP BY run_name)"
     q["a14_best_validation"] = _with(*_LOGS, best) + "SELECT run_name, best_val_loss, best_val_step FROM best"
-    q["a15_run_summary"] = _with(*_LOGS, best, _LOG_CONFIGS) + """SELECT run_name, max_steps, last_step, elapsed_seconds,
+    q["a15_run_summary"] = _with(*_LOGS, best, _LOG_CONFIGS) + """SELECT run_name, max_steps, warmup_steps, max_lr, min_lr, last_step, elapsed_seconds,
         best_val_loss, best_val_step, last_step < max_steps - 1 AS stopped_due_to_time FROM log_configs
         JOIN (SELECT run_name, max(step) AS last_step, max(elapsed_seconds) AS elapsed_seconds FROM log GROUP BY run_name)
         USING (run_name) JOIN best USING (run_name)"""
     q["a16_masked_loss"] = _with(*_EVALS) + "SELECT example_id, cand_id, loss_sum, mask_sum FROM cands"
+    q["a16_shifted_mask"] = """SELECT example_id, cand_id, sum(loss * mask)::BIGINT AS loss_sum, sum(mask)::BIGINT AS mask_sum FROM (
+        SELECT user_id AS example_id, (event_id % 4)::INT AS cand_id, round(value * 100) AS loss,
+        lead((event_type <> 'view')::INT) OVER (PARTITION BY user_id, event_id % 4 ORDER BY event_id) AS mask FROM events)
+        WHERE mask IS NOT NULL GROUP BY example_id, cand_id"""
     q["a17_predictions"] = _with(*_EVALS) + "SELECT example_id, pred FROM preds"
     q["a18_accuracy"] = _with(*_EVALS) + """SELECT sum((pred = label)::INT)::BIGINT AS num_correct, count(*) AS num_total,
         round(sum((pred = label)::INT) / count(*), 9) AS acc FROM preds"""
@@ -488,10 +502,10 @@ def sql() -> dict[str, str]:
         "SELECT token, id, sum((length(text) - length(replace(text, token, ''))) // length(token))::BIGINT AS cnt "
         "FROM chat, sp GROUP BY token, id HAVING cnt > 0"
     )
-    q["j4_samples_by_tokenizers"] = _with(_LANG_JOINED) + r"""SELECT sample, bytes, words, tokenizer, vocab_size FROM (
+    q["j4_samples_by_tokenizers"] = _with(_LANG_JOINED) + rf"""SELECT sample, bytes, words, tokenizer, vocab_size FROM (
         SELECT lang AS sample, sum(octet_length(encode(text)))::BIGINT AS bytes,
         sum(len(regexp_extract_all(text, '\S+')))::BIGINT AS words FROM lj GROUP BY lang),
-        (SELECT 'regex_vocab_264' AS tokenizer, 264::BIGINT AS vocab_size UNION ALL SELECT 'regex_vocab_260', 260)"""
+        (SELECT '{BIG}' AS tokenizer, {256 + MERGES}::BIGINT AS vocab_size UNION ALL SELECT '{SMALL}', {256 + FEW})"""
     q["j5_vocab_children"] = _with(_TRAIN, _VOCAB) + (
         "SELECT v.id, a.h AS left_bytes, b.h AS right_bytes FROM vocab v LEFT JOIN vocab a ON a.id = v.\"left\" "
         "LEFT JOIN vocab b ON b.id = v.\"right\""
@@ -555,6 +569,11 @@ def sql() -> dict[str, str]:
     q["l5_top_candidates"] = """SELECT * FROM (SELECT user_id AS row_id, event_id AS cand,
         row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS place FROM events) WHERE place <= 50"""
 
+    q["l5_weighted_draw"] = """WITH p AS (SELECT user_id AS row_id, event_id AS cand,
+        round(value * 100) / sum(round(value * 100)::BIGINT) OVER (PARTITION BY user_id) AS prob FROM events),
+        k AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY prob DESC, cand) AS place FROM p WHERE prob > 0)
+        SELECT row_id, arg_min(cand, -ln((('0x' || substr(md5('42:' || row_id || ':' || cand), 1, 13))::BIGINT + 1) / 4503599627370496.0::DOUBLE) / prob) AS cand
+        FROM k WHERE place <= 50 GROUP BY row_id"""
     q["u1_disjoint_split"] = _with(_QUOTA_DEFAULT) + """SELECT split AS part, count(*) AS n FROM taken GROUP BY split
         UNION ALL SELECT 'both', count(*) FROM (SELECT doc_id FROM taken WHERE split = 'train' INTERSECT
         SELECT doc_id FROM taken WHERE split = 'test')"""
@@ -573,13 +592,12 @@ def sql() -> dict[str, str]:
     q["st3_run_metrics_stream"] = _with(*_LOGS) + """SELECT l.run_name, round(bv, 4) AS best_val_loss, bs::INT AS best_val_step, last_step::INT AS last_step
         FROM lasts l JOIN (SELECT run_name, min(val_loss) AS bv, arg_min(step, {'l': val_loss, 's': step}) AS bs FROM val GROUP BY run_name)
         USING (run_name)"""
-    plain = "tdocs AS MATERIALIZED (SELECT doc_id, code, length(code) AS n FROM enc)"
-    q["st4_shard_fill_stream"] = _with(_TRAIN, _DOCS, plain, _OFFSETS, _SPANS, _PIECES) + (
+    q["st4_shard_fill_stream"] = _with(*_SHARDS) + (
         f"SELECT split, shard_id, start, doc_id, {_digest()} AS digest FROM pieces"
     )
     q["f1_custom_pattern"] = r"""SELECT chunk, count(*) AS cnt FROM (
         SELECT unnest(regexp_extract_all(text, '\p{L}+|\p{N}+|[^\p{L}\p{N}]+')) AS chunk FROM documents) GROUP BY chunk"""
-    q["f2_outside_encoder"] = """SELECT lang AS sample, 'raw_bytes' AS tokenizer, sum(octet_length(encode(text)))::BIGINT AS bytes,
+    q["f2_outside_encoder"] = """SELECT lang AS sample, true AS roundtrip, 'raw_bytes' AS tokenizer, sum(octet_length(encode(text)))::BIGINT AS bytes,
         sum(octet_length(encode(text)))::BIGINT AS tokens, any_value(u) AS unique_tokens, 1.0::DOUBLE AS compression_ratio
         FROM documents JOIN (SELECT lang, count(DISTINCT b) AS u FROM (SELECT lang, unnest(regexp_extract_all(hex(encode(text)), '..')) AS b
           FROM documents) GROUP BY lang) USING (lang) GROUP BY lang"""
@@ -590,7 +608,7 @@ def sql() -> dict[str, str]:
     quota_train = "joined AS (SELECT doc_id, text || CASE WHEN doc_id = max(doc_id) OVER () THEN '' ELSE chr(10) || chr(10) END AS text FROM taken WHERE split = 'train')"
     test_joined = "tj AS (SELECT doc_id, text || CASE WHEN doc_id = max(doc_id) OVER () THEN '' ELSE chr(10) || chr(10) END AS text FROM taken WHERE split = 'test')"
     sizes = []
-    for n, upto in ((260, 4), (264, 8)):
+    for n, upto in ((256 + FEW, FEW), (256 + MERGES, MERGES)):
         sizes.append(f"""SELECT 'test' AS sample, 'regex_vocab_{n}' AS tokenizer, bytes, words, tokens, uniq AS unique_tokens, {n}::BIGINT AS vocab_size
           FROM tsum, (SELECT sum(cnt)::BIGINT AS tokens, count(DISTINCT ch) AS uniq FROM (
             SELECT cnt, unnest(string_split({_apply("s", upto)}, '')) AS ch FROM tcode))""")

@@ -7,12 +7,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_dirs: dict[str, str] = {}
-
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSession:
     """A single-JVM session for tests and the bench; clusters bring their own."""
-    return (
+    spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("mergeloom")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -23,24 +21,25 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+    ensure_work_dir(spark)
+    return spark
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables: `spark.checkpoint.dir`.
-
-    Only a local master may fall back to a temporary folder, because on a
-    cluster that folder would exist on one machine only.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    configured = configured or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="mergeloom-")
-    return _local_dirs[app]
+    """Shared folder for intermediate tables: `spark.checkpoint.dir`."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder.rstrip("/")
+
+
+def ensure_work_dir(spark: SparkSession) -> None:
+    """Give a session on this machine alone a folder of its own if it has none;
+    a cluster's must be set."""
+    context = spark.sparkContext
+    unset = not (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir())
+    if unset and context.master.split("[")[0] == "local":
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="mergeloom-"))
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -8,6 +8,7 @@ from ..functions.text import DOC_SEPARATOR, GPT2_PATTERN, GPT4_PATTERN
 from ..operators.joins import join_bounded
 from ..operators.prefix import dense_index, running
 from ..session import cut_lineage
+from .paths import partition_value, plain_path
 
 # Where each pattern breaks a white-space run that holds a separator.
 _CUTS = {GPT4_PATTERN: "after_newline", GPT2_PATTERN: "before_last"}
@@ -38,12 +39,13 @@ def first_documents(docs: DataFrame, n: int) -> DataFrame:
 
 
 def file_stem() -> Column:
-    return F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
+    name = F.regexp_extract(plain_path(F.col("_metadata.file_path")), r"([^/]*)$", 1)
+    return F.regexp_replace(name, r"\.[^.]*$", "")
 
 
 def parent_folder(key: str) -> Column:
     """The value of a `key=value` folder in the file's path."""
-    return F.regexp_extract(F.col("_metadata.file_path"), f"{key}=([^/]+)/", 1)
+    return partition_value(F.col("_metadata.file_path"), key)
 
 
 def whole_file_samples(spark: SparkSession, path: str, name: Column | None = None) -> DataFrame:

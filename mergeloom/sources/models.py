@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .paths import plain_path
 from ..functions.codes import render_token
 from ..operators.tokenizer import FIRST_MERGE_ID, Tokenizer, merges_table, specials_table, vocab_table
 
@@ -40,7 +41,7 @@ def read_model_lines(spark: SparkSession, path: str) -> DataFrame:
     files are split; the name is the stem of the `.model` file or folder.
     """
     files = spark.read.text(path, wholetext=True)
-    source = F.col("_metadata.file_path")
+    source = plain_path(F.col("_metadata.file_path"))
     name = F.regexp_extract(source, r"([^/]+)\.model(?:/[^/]*)?$", 1)
     lines = files.select(
         name.alias("tokenizer"), F.posexplode(F.split("value", "\r?\n")).alias("line_no", "value")

@@ -8,7 +8,6 @@ from ..operators.codec import encode_documents
 from ..operators.packing import shard_spans, split_label
 from ..operators.prefix import running
 from ..operators.tokenizer import Tokenizer
-from ..session import cut_lineage
 from ..sources.runlogs import parse_text_log, run_from_path
 
 DOCUMENT_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -107,7 +106,7 @@ class ShardFill:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         start = self._start(spark, batch_id)
-        docs = cut_lineage(batch.withColumn("n_tokens", F.size("tokens")), "stream-docs")
+        docs = batch.withColumn("n_tokens", F.size("tokens")).persist()
         n = F.col("n_tokens").cast("bigint")
         offset = running(docs, "doc_id", {"offset": ("sum", n, False)})
         placed = shard_spans(offset.withColumn("offset", F.col("offset") + start), self.shard_size)
@@ -119,6 +118,7 @@ class ShardFill:
         spark.createDataFrame([(start + total,)], "next bigint").coalesce(1).write.mode(
             "overwrite"
         ).parquet(f"{self.offsets}/batch_id={batch_id}")
+        docs.unpersist()
 
     def run(self, token_docs: DataFrame, checkpoint: str) -> DataFrame:
         query = (

@@ -126,8 +126,9 @@ def test_merge_rows_on_random_rows():
 
 def test_pair_totals_counts_overlaps():
     values, lens = np.array([7, 7, 7, 1, 7, 7], np.int32), np.array([3, 1, 2])
-    key, cnt, first = pair_totals(values, lens, np.array([2, 5, 1]), np.array([4, 0, 1]), 10)
-    assert key.tolist() == [(7 << 32) | 7] and cnt.tolist() == [5] and first.tolist() == [10]
+    # The longest ranks that a bigint holds: places are pairs, not one number.
+    key, cnt, rank, index = pair_totals(values, lens, np.array([2, 5, 1]), np.array([(1 << 63) - 1, 0, 1]))
+    assert (key.tolist(), cnt.tolist(), rank.tolist(), index.tolist()) == ([(7 << 32) | 7], [5], [1], [0])
 
 
 def test_expression_pairs_agree_with_batches(spark):
@@ -210,7 +211,7 @@ def test_sizes_are_prefixes(spark):
     assert train(d, 266).tokenizer.merges == small.merges
 
 
-def test_dictionary_positions_and_wide_ids(spark):
+def test_dictionary_positions_for_any_bigint_id(spark):
     texts = ["b a b", "a c", "b"]
     df = corpus(spark, texts)
     want = {}
@@ -218,16 +219,13 @@ def test_dictionary_positions_and_wide_ids(spark):
         for i, c in enumerate(model.pretokenize(t)):
             n, pos = want.get(c, (0, (d, i)))
             want[c] = (n + 1, pos)
-    for wide in (False, True):
-        rows = dictionary.chunk_dictionary(df, wide_ids=wide).collect()
-        assert {r["chunk"]: (r["cnt"], (r["first_doc"], r["first_idx"])) for r in rows} == want
-    huge = df.withColumn("doc_id", F.col("doc_id") + (1 << 40))
-    with pytest.raises(Exception, match="wide_ids"):
-        dictionary.chunk_dictionary(huge).collect()
-    assert dictionary.chunk_dictionary(huge, wide_ids=True).count() == len(want)
-    assert train(dictionary.chunk_dictionary(huge, wide_ids=True), 258).tokenizer == train(
-        dictionary.chunk_dictionary(df), 258
-    ).tokenizer
+    rows = dictionary.chunk_dictionary(df).collect()
+    assert {r["chunk"]: (r["cnt"], (r["first_doc"], r["first_idx"])) for r in rows} == want
+    for shift in (1 << 40, -(1 << 63), (1 << 63) - len(texts)):
+        far = df.withColumn("doc_id", F.col("doc_id") + F.lit(shift))
+        rows = dictionary.chunk_dictionary(far).collect()
+        assert {r["chunk"]: (r["cnt"], (r["first_doc"] - shift, r["first_idx"])) for r in rows} == want
+        assert train(dictionary.chunk_dictionary(far), 258).tokenizer == train(dictionary.chunk_dictionary(df), 258).tokenizer
 
 
 def test_added_counts(spark):

@@ -43,7 +43,8 @@ def test_query_equals_sql(spark, sf, duck, name):
 def test_every_sql_has_a_query():
     queries, sql = entry_module.queries(), entry_module.oracle_sql()
     assert set(sql) <= set(queries)
-    assert set(queries) - set(sql) == {"l5_weighted_draw"}
+    core = {name for name in queries if name != "pipeline" and not name.startswith("op")}
+    assert core <= set(sql)
 
 
 def test_entry(spark):

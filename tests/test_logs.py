@@ -173,3 +173,79 @@ def test_eval_rows_scan(spark, tmp_path):
     ranked = spark.createDataFrame([(0, 0, 0), (1, 1, 0), (0, 1, 1)], "rank int, pred int, label int")
     by_rank = {r["rank"]: (r["num_correct"], r["num_total"]) for r in evals.accuracy(ranked, ["rank"]).collect()}
     assert by_rank == {0: (2, 2), 1: (0, 1)}
+
+
+NAMES = ["lr 1e-3:a", "100%", "a+b", "größe é", "x=y", "%20"]
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_run_names_come_back_as_given(spark, tmp_path, name):
+    df = spark.createDataFrame([(name, 250, "val", 2.5)], "run_name string, step long, kind string, value double")
+    path = str(tmp_path / "log")
+    files.append_text_logs(runlogs.text_log_lines(df), path)
+    assert [r["run_name"] for r in files.read_text_logs(spark, path).collect()] == [name]
+    own = tmp_path / "runs" / name
+    own.mkdir(parents=True)
+    (own / "log.txt").write_text("1 val 2.0\n")
+    assert [r["run_name"] for r in files.read_text_logs(spark, str(tmp_path / "runs")).collect()] == [name]
+
+
+def test_blank_and_cut_lines_are_kept_apart(spark, tmp_path):
+    run = tmp_path / "r"
+    run.mkdir()
+    (run / "log.txt").write_text("0 val 3.5\n\n250 tra\nx val 1.0\n250 val\n500 val 2.5")
+    lines = files.read_log_lines(spark, str(tmp_path))
+    assert sorted(r["step"] for r in files.parse_text_log(lines).collect()) == [0, 500]
+    assert sorted(r["value"] for r in files.unreadable_lines(lines).collect()) == ["", "250 tra", "250 val", "x val 1.0"]
+
+
+def test_csv_kinds_side_by_side(spark, tmp_path):
+    run = tmp_path / "runs" / "r 1"
+    run.mkdir(parents=True)
+    for file, schema, row in (("train", files.TRAIN_LOG_SCHEMA, "1,3.5,0.1"), ("val", files.VAL_LOG_SCHEMA, "250,9.5,99.0")):
+        names = [f.split()[0] for f in schema.split(", ")]
+        (run / f"{file}_logs.csv").write_text(",".join(names) + "\n" + row + "," * (len(names) - 3) + "\n")
+    path = str(tmp_path / "runs")
+    train = files.read_csv_logs(spark, path, files=files_of("train")).collect()
+    val = files.read_csv_logs(spark, path, files.VAL_LOG_SCHEMA, files_of("val")).collect()
+    assert [(r["run_name"], r["train_loss"], r["lr"]) for r in train] == [("r 1", 3.5, 0.1)]
+    assert [(r["run_name"], r["val_loss"], r["val_perplexity"]) for r in val] == [("r 1", 9.5, 99.0)]
+    with pytest.raises(Exception):  # not by position
+        files.read_csv_logs(spark, path, files=files_of("val")).collect()
+
+
+def files_of(kind):
+    return f"{kind}_logs*.csv"
+
+
+def test_log_mass_on_wide_and_hot_keys(spark):
+    rows = [(0, float(x)) for x in range(-600, 600, 7)] + [(1, 5.0)] * 50 + [(2, -1e6), (2, -1e6 - 1)]
+    df = spark.createDataFrame(rows, "k long, logit double")
+    for r in evals.log_mass(df, ["k"], "logit").collect():
+        own = [x for k, x in rows if k == r["k"]]
+        assert r["peak"] == max(own) and r["mass"] == pytest.approx(sum(math.exp(x - max(own)) for x in own))
+
+
+def test_join_back_splits_a_hot_key(spark):
+    from mergeloom.operators.joins import join_back
+
+    rows = spark.range(1000).selectExpr("if(id % 3 = 0, 0, id) as k", "id")
+    totals = rows.groupBy("k").count()
+    got = join_back(rows, totals, "k")
+    assert got.count() == 1000 and {r["count"] for r in got.filter("k = 0").collect()} == {334}
+
+
+def test_summary_keeps_config_columns(spark):
+    log = spark.createDataFrame([("a", 0, 1.0)], "run_name string, step long, elapsed_seconds double")
+    val = spark.createDataFrame([("a", 0, 3.0)], "run_name string, step long, val_loss double")
+    configs = spark.createDataFrame([("a", 2, 6)], "run_name string, max_steps long, n_layer int")
+    row = runlogs.run_summary(log, val, configs).first()
+    assert (row["n_layer"], row["max_steps"], row["best_val_loss"]) == (6, 2, 3.0)
+
+
+def test_schedule_without_shards(spark):
+    from mergeloom.operators import batches
+
+    micro = spark.createDataFrame([(0, 0)], "step long, micro long")
+    lengths = spark.createDataFrame([], "split string, shard_id int, n_tokens long")
+    assert batches.batch_schedule(micro, lengths, 2, 4, 1).count() == 0
