@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mergeloom.llm import decontaminate, exact_dedup, language_id, near_dedup, packing
 from mergeloom.llm.common import cut_lineage, table
+from mergeloom.session import ensure_work_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -52,6 +53,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_work_dir(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = cut_lineage(stage(spark, docs, sf_dir), name)

@@ -1,6 +1,6 @@
 """Word tables of Arrow text batches, hashed with NumPy.
 
-A batch is worked through in slices of rows of a few megabytes, so memory does
+A batch is worked through in slices of rows of about a megabyte, so memory does
 not depend on the batch size; only a single longer text makes a larger slice.
 Null texts count as empty.
 """
@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _HASHED_AT_ONCE = 1 << 18
 _random = np.random.default_rng(20240607)
 _BYTE = _random.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)

@@ -14,11 +14,12 @@ import json
 import os
 import re
 from array import array
+from functools import cached_property
 
 import numpy as np
 
 #: Words kept by a Python worker; the store starts anew when it is full.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 200_000
 _ORDINARY = re.compile(r"[\t\n\x20-\x7e¡-¬®-ſ]*").fullmatch
 _encoders: dict[str, "Encoder"] = {}
 
@@ -45,13 +46,10 @@ class _Words(dict):
 
 class Encoder:
     def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tiktoken
         from public_tokenizers import PATTERN
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.path = path
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         special = {t["content"] for t in spec["added_tokens"]}
@@ -75,6 +73,16 @@ class Encoder:
             _encoders[path] = cls(path)
         return _encoders[path]
 
+    @cached_property
+    def tokenizer(self):
+        """Loaded when a text first needs it: it takes more memory than the rest."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        made = Tokenizer.from_file(self.path)
+        made.encode_special_tokens = True
+        return made
+
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
 

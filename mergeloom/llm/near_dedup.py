@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .blocks import NOT_SPACE, Words, grams, mix, plain, slices, words
+from ..operators.joins import join_back
 from .common import cut_lineage, join_bounded, text_of, without
 from .components import components
 
@@ -163,7 +164,7 @@ def links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
 
     sided = buckets.join(roots.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
     mixed = sided.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("key")
-    left = cut_lineage(sided.join(mixed, "key", "left_semi").select("id", "root").distinct(), "undecided")
+    left = cut_lineage(join_back(sided, mixed, "key").select("id", "root").distinct(), "undecided")
     more = cut_lineage(_confirmed(_cross_pairs(left, sets), sets), "cross-links")
     return components(linked.unionByName(more)) if not more.isEmpty() else roots
 

@@ -27,9 +27,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import new_path, text_of
+from ..operators.prefix import running
+from .common import join_bounded, new_path, text_of
 from .encoding import Encoder, tokenizer_path
 
 SEQUENCE = 2048
@@ -38,6 +39,7 @@ END_ID = 1
 #: Slots of a shard; about half of them are taken.
 SHARD_SLOTS = 1 << 13
 _ROUNDS = 6
+_FILES = "path string, modificationTime timestamp, length bigint, content binary, shard bigint"
 
 
 def permuted(numbers: np.ndarray, size: int, key: int) -> np.ndarray:
@@ -63,18 +65,19 @@ class Shards:
     spark: SparkSession
     path: str
 
+    def files(self) -> DataFrame:
+        reader = self.spark.read.format("binaryFile").schema(_FILES).option("pathGlobFilter", "*.txt")
+        return reader.load(self.path)
+
     def positions(self) -> DataFrame:
         """shard, path, length, records, first (position of the first record); a row per shard."""
-        files = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(self.path).select("shard", "path", "length")
-        before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-        records = (F.col("length") / STRIDE).cast("bigint")
-        return files.withColumn("records", records).withColumn("first", F.coalesce(F.sum("records").over(before), F.lit(0)))
+        sizes = self.files().select("shard", "path", "length", (F.col("length") / STRIDE).cast("bigint").alias("records"))
+        return running(sizes, "shard", {"first": ("sum", F.col("records"), False)})
 
     def records(self) -> DataFrame:
         """position, shard, byte_offset, ids (binary) of every record, read back from the files."""
         sizes = self.positions().select("shard", "first")
-        files = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(self.path).select("shard", "length", "content")
-        rows = files.join(sizes, "shard").select(
+        rows = join_bounded(self.files().select("shard", "length", "content"), sizes, "shard").select(
             "shard", "first", "content", F.explode(F.sequence(F.lit(0).cast("bigint"), (F.col("length") / STRIDE).cast("bigint") - 1)).alias("r")
         )
         return rows.select(
@@ -116,7 +119,7 @@ def write_shards(docs: DataFrame, key: int, path: str | None = None, vocabulary:
             slots = permuted(np.arange(number, number + len(table)), size, key)
             number += len(table)
             return pa.RecordBatch.from_arrays(
-                [pa.array(slots, pa.int64()), pa.array([r.tobytes() + b"\n" for r in table], pa.binary())], ["slot", "record"]
+                [pa.array(slots, pa.int64()), pa.array([r.tobytes() for r in table], pa.binary())], ["slot", "record"]
             )
 
         for batch in batches:
@@ -134,5 +137,5 @@ def write_shards(docs: DataFrame, key: int, path: str | None = None, vocabulary:
     shards = max(1, -(-size // SHARD_SLOTS))
     placed = rows.mapInArrow(sequences, "slot bigint, record binary").withColumn("shard", (F.col("slot") / SHARD_SLOTS).cast("bigint"))
     ordered = placed.repartition(shards, "shard").sortWithinPartitions("shard", "slot")
-    ordered.select("shard", F.col("record").cast("string").alias("value")).write.partitionBy("shard").option("lineSep", "\x00").text(path)
+    ordered.select("shard", F.col("record").cast("string").alias("value")).write.partitionBy("shard").option("lineSep", "\n").text(path)
     return Shards(spark, path)

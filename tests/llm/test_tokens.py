@@ -106,7 +106,7 @@ def test_shards_round_trip(spark, monkeypatch):
     shards = token_output.write_shards(docs, 5)
     rows = shards.records().orderBy("position").collect()
     assert [r.position for r in rows] == list(range(len(rows))) and len({r.shard for r in rows}) > 1
-    stream = [t for r in cases.rows() for t in reference(r[1]) + [1]]
+    stream = [t for r in docs.select("text").collect() for t in reference(r.text) + [1]]
     want = np.array(stream + [1] * (-len(stream) % token_output.SEQUENCE), "<u2").reshape(-1, token_output.SEQUENCE)
     assert sorted(bytes(r.ids) for r in rows) == sorted(w.tobytes() for w in want)
     assert [bytes(r.ids) for r in rows] != [w.tobytes() for w in want]  # another order
