@@ -6,8 +6,9 @@ an insult with a mention of a group.
 
 Fitting takes at most `FIT_ROWS` labelled documents (those with the smallest
 hash of doc_id) and works on their hashed terms on the driver, which bounds it by FIT_ROWS
-x distinct buckets; terms in fewer than `LEAST_DOCS` of them, or without a share of toxic documents of their
-own, aren't fitted. The weights, of a fixed size
+x distinct buckets. Every term of them gets a weight and factors. All decay; the linear weight of a term decays more,
+the fewer standard errors its own share of toxic documents lies off the average, and its factors as all others,
+so that terms which say something only together are learnt. The weights, of a fixed size
 (2^18 x 5 floats), are broadcast; all rows and whole texts are scored with NumPy.
 
 Edge cases: null or wordless texts score sigmoid(b). Several labels of a doc_id count
@@ -30,13 +31,13 @@ from .common import fold, text_of
 BUCKETS = 1 << 18
 FACTORS = 4
 FIT_ROWS = 20_000
-LEAST_DOCS = 5
-EPOCHS = 6
+EPOCHS = 8
 BATCH = 256
-RATE = 0.3
-#: Terms whose toxic share differs from the average by fewer standard errors aren't fitted.
-LEAST_Z = 3.0
-DECAY = 1e-5
+RATE = 1.0
+DECAY = 1e-4
+#: Standard errors at which a linear weight decays by DECAY; MOST_DECAY bounds how much more it is below.
+SURE_Z = 3.0
+MOST_DECAY = 30.0
 
 
 def terms(texts: pa.Array) -> Iterator[np.ndarray]:
@@ -78,40 +79,43 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, seed: int = 11) -> Machine:
     if share in (0.0, 1.0):
         return Machine(40.0 if share else -40.0, linear, factors, np.zeros(BUCKETS, bool))
     bias = float(np.log(share / (1 - share)))
-    n = np.bincount(np.concatenate(rows), minlength=BUCKETS)
-    k = np.bincount(np.concatenate(rows), np.repeat(toxic, [len(r) for r in rows]), BUCKETS)
-    far = np.abs(k - n * share) >= LEAST_Z * np.sqrt(n * share * (1 - share))
-    seen = (n >= LEAST_DOCS) & far
-    rows = [r[seen[r]] for r in rows]
+    length = np.array([len(r) for r in rows])
+    start = np.cumsum(length) - length
+    seen, flat = np.unique(np.concatenate(rows), return_inverse=True)
+    flat, size = flat.astype(np.int32), len(seen)
+    n, k = np.bincount(flat, minlength=size), np.bincount(flat, np.repeat(toxic, length), size)
+    z = np.abs(k - n * share) / np.sqrt(n * share * (1 - share))
+    decay = (DECAY * np.minimum((SURE_Z / np.maximum(z, 1e-3)) ** 4, MOST_DECAY)).astype(np.float32)
     rng = np.random.default_rng(seed)
-    factors[seen] = rng.normal(0, 0.05, (int(seen.sum()), FACTORS))
-    power_w, power_v = np.full(BUCKETS, 1e-4, np.float32), np.full((BUCKETS, FACTORS), 1e-2, np.float32)
+    w, v = np.zeros(size, np.float32), rng.normal(0, 0.05, (size, FACTORS)).astype(np.float32)
+    power_w, power_v = np.full(size, 1e-3, np.float32), np.full((size, FACTORS), 1e-2, np.float32)
     for _ in range(EPOCHS):
         order = rng.permutation(len(rows))
         for a in range(0, len(order), BATCH):
-            chosen = [i for i in order[a : a + BATCH] if len(rows[i])]
-            if not chosen:
+            chosen = order[a : a + BATCH]
+            chosen = chosen[length[chosen] > 0]
+            if not len(chosen):
                 continue
-            place = np.concatenate([rows[i] for i in chosen])
-            size = np.array([len(rows[i]) for i in chosen])
-            first = np.cumsum(size) - size
-            v = factors[place]
-            sums = np.add.reduceat(v, first)
-            squares = np.add.reduceat(np.square(v).sum(1), first)
-            margin = bias + np.add.reduceat(linear[place], first) + 0.5 * (np.square(sums).sum(1) - squares) / size
+            many = length[chosen]
+            first = np.cumsum(many) - many
+            place = flat[np.repeat(start[chosen] - first, many) + np.arange(many.sum())]
+            here = v[place]
+            sums = np.add.reduceat(here, first)
+            squares = np.add.reduceat(np.square(here).sum(1), first)
+            margin = bias + np.add.reduceat(w[place], first) + 0.5 * (np.square(sums).sum(1) - squares) / many
             error = (sigmoid(margin) - toxic[chosen]) / len(chosen)
             bias -= RATE * float(error.sum())
-            used, back = np.unique(place, return_inverse=True)
-            each = np.repeat(error, size)
-            step = np.bincount(back, each, len(used)) + DECAY * linear[used]
-            power_w[used] += step * step
-            linear[used] -= (RATE * step / np.sqrt(power_w[used])).astype(np.float32)
-            spread = np.repeat(sums / size[:, None], size, 0) - v / np.repeat(size, size)[:, None]
+            step = np.bincount(place, np.repeat(error, many), size) + decay * w
+            power_w += step * step
+            w -= (RATE * step / np.sqrt(power_w)).astype(np.float32)
+            own = np.bincount(place, np.repeat(error / many, many), size)
             for f in range(FACTORS):
-                step = np.bincount(back, each * spread[:, f], len(used)) + DECAY * factors[used, f]
-                power_v[used, f] += step * step
-                factors[used, f] -= (RATE * step / np.sqrt(power_v[used, f])).astype(np.float32)
-    return Machine(bias, linear, factors, seen)
+                step = np.bincount(place, np.repeat(error / many * sums[:, f], many), size) + (DECAY - own) * v[:, f]
+                power_v[:, f] += step * step
+                v[:, f] -= (RATE * step / np.sqrt(power_v[:, f])).astype(np.float32)
+    known = np.zeros(BUCKETS, bool)
+    linear[seen], factors[seen], known[seen] = w, v, True
+    return Machine(bias, linear, factors, known)
 
 
 def _terms_column(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -129,6 +129,23 @@ def test_toxicity_learns_pairs():
     assert ((s >= 0.5) == np.array(toxic)).mean() > 0.97
 
 
+def test_toxicity_learns_terms_that_say_nothing_alone():
+    """Each of two terms is as common in toxic texts as in others; which are toxic shows in both together."""
+    rng = np.random.default_rng(4)
+    rows, toxic = [], []
+    for _ in range(1500):
+        for terms in [(), (1,), (2,), (1, 2)]:
+            rows.append(np.unique(np.array([*rng.integers(100, 400, 5), *terms], np.int32)))
+            toxic.append(float(len(terms) != 1))
+    toxic = np.array(toxic)
+    for t in (1, 2):
+        assert toxic[[t in r for r in rows]].mean() == toxic.mean()
+    m = toxicity.fit(rows[:4000], toxic[:4000])
+    s = toxicity.sigmoid(m.raw(rows[4000:]))
+    assert ((s >= 0.5) == toxic[4000:]).mean() > 0.97
+    assert m.known[np.unique(np.concatenate(rows[:4000]))].all()
+
+
 def test_toxicity(spark):
     rows = [(i, cases.prose(i, 40) + (" idiot moron" if i % 4 == 0 else ""), "en", "s", 0) for i in range(400)]
     rows += [(900, None, "en", "s", 0), (901, "", "en", "s", 0), (902, "idiot " * 30000, "en", "s", 0), (None, "idiot", "en", "s", 0)]
