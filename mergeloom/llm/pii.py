@@ -1,16 +1,17 @@
-"""Personal data, and the terms around it that reveal it.
+"""Personal data, and the terms of its documents that reveal it.
 
 Base spans are e-mail addresses, IPv4 addresses, card numbers and phone numbers; per kind they are
 the leftmost non-overlapping matches, and a match that fails its check is
 dropped. Each distinct value is a protected entity. The corpus then tells which terms reveal an entity:
 
 * c(e), c(t): documents that hold entity e, or term t anywhere in their text;
-* c(t, e): documents where t stands within `REACH` words of e.
+* c(t, e): documents that hold e and have t anywhere outside base spans.
 
 t discloses log2(c(t, e) * N / (c(t) * c(e))) bits about e, whose information is
 log2(N / c(e)). Where the first is at least `DISCLOSURE` of the second, and e isn't
-held by all documents, the mentions of t near e get a `term` span: `sanitise` removes them and generalises
+held by all documents, all mentions of t in the documents that hold e get a `term` span: `sanitise` removes them and generalises
 the base spans to their kind. All counts are over all documents, as sums of per-task partial counts.
+As c(t, e) is at most c(e), only terms with c(t) <= c(e)^D * N^(1 - D) are paired with e, D being `DISCLOSURE`.
 
 Edge cases: null text counts as empty. Every row is a document of the corpus, also where
 doc_ids are null or repeat; rows equal in doc_id and text get equal spans. An empty table gives an empty result. Other columns are ignored by `decide`.
@@ -27,10 +28,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .blocks import WORD, plain, slices, words
-from .common import cut_lineage, text_of
+from .common import cut_lineage, join_bounded, text_of
 
 KINDS = ("email", "ip", "card", "phone")
-REACH = 5
 DISCLOSURE = 0.95
 _IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
@@ -101,43 +101,25 @@ def _lower(term: str) -> str:
 _ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 
 
-def near_terms(text: str, spans: list[Span]) -> list[tuple[int, str, int, int]]:
-    """(entity, term, start, end) of every term within REACH words of a base span and outside all of them."""
+def terms(text: str, spans: list[Span]) -> list[tuple[str, int, int]]:
+    """(term, start, end) of every term outside all base spans."""
     covered = sorted((a, b) for _, a, b in spans)
-    out = []
-    for kind, start, end in spans:
-        key = entity(kind, text[start:end])
-        for place, m in _window(text, start, end):
-            if not any(a < m[1] and m[0] < b for a, b in covered):
-                out.append((key, _lower(text[m[0] : m[1]]), *m))
+    out, at, reached = [], 0, 0
+    for m in _TERM.finditer(_lower(text)):
+        while at < len(covered) and covered[at][0] < m.end():
+            reached = max(reached, covered[at][1])
+            at += 1
+        if m.start() >= reached:
+            out.append((m[0], m.start(), m.end()))
     return out
 
 
-def _window(text: str, start: int, end: int) -> list[tuple[int, tuple[int, int]]]:
-    """The REACH words before and after a span."""
-    found: list[tuple[int, int]] = []
-    reach = 64
-    while True:
-        left = max(0, start - reach)
-        before = [(m.start(), m.end()) for m in _TERM.finditer(text, left, start)]
-        if left and before and before[0][0] == left:
-            before = before[1:]  # may begin further left
-        if len(before) >= REACH or not left:
-            break
-        reach *= 4
-    found += before[-REACH:]
-    for m in _TERM.finditer(text, end):
-        if len(found) >= len(before[-REACH:]) + REACH:
-            break
-        found.append((m.start(), m.end()))
-    return list(enumerate(found))
-
-
-_FOUND = "struct<base:array<struct<kind:string,start:int,end:int>>,near:array<struct<e:bigint,t:bigint,start:int,end:int>>>"
+_FOUND = "struct<base:array<struct<kind:string,start:int,end:int>>,es:array<bigint>,ts:array<bigint>>"
 _FOUND_ARROW = pa.struct(
     [
         ("base", pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))),
-        ("near", pa.list_(pa.struct([("e", pa.int64()), ("t", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))),
+        ("es", pa.list_(pa.int64())),
+        ("ts", pa.list_(pa.int64())),
     ]
 )
 
@@ -155,17 +137,27 @@ def _found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for text in plain(texts):
             text = text.as_py()
             spans = base_spans(text)
-            near = near_terms(text, spans) if spans else []
-            keys = _term_keys([n[1] for n in near])
             out.append(
                 {
                     "base": [{"kind": k, "start": a, "end": b} for k, a, b in spans],
-                    "near": [{"e": n[0], "t": key, "start": n[2], "end": n[3]} for n, key in zip(near, keys, strict=True)],
+                    "es": sorted({entity(k, text[a:b]) for k, a, b in spans}),
+                    "ts": _term_keys(sorted({t for t, _, _ in terms(text, spans)})) if spans else [],
                 }
             )
         yield pa.array(out, _FOUND_ARROW)
 
 
+def _mentions(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+    """Spans of all mentions of the given terms."""
+    for texts, bases, told in batches:
+        out = []
+        for text, base, keys in zip(texts.to_pylist(), bases.to_pylist(), told.to_pylist()):
+            found, keys = terms(text, [(s["kind"], s["start"], s["end"]) for s in base]), set(keys)
+            at = zip(found, _term_keys([t for t, _, _ in found]), strict=True)
+            out.append([{"kind": "term", "start": a, "end": b} for (_, a, b), key in at if key in keys])
+        yield pa.array(out, _FOUND_ARROW.field("base").type)
+
+
 def _document_frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(plain(batch.column(0))):
@@ -175,18 +167,26 @@ def _document_frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
             yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(count, pa.int64())], ["t", "n"])
 
 
-def disclosures(docs: DataFrame, near: DataFrame) -> DataFrame:
-    """(e, t) pairs where t discloses too much of e. `near` has row, e, t."""
+def disclosures(docs: DataFrame, held: DataFrame) -> DataFrame:
+    """(place, t): terms that disclose too much of an entity of the document.
+    `held` has place, es and ts of the documents that hold an entity."""
     total = docs.count()
-    text = text_of(docs)
-    held = cut_lineage(near.groupBy("row", "e", "t").agg(F.count(F.lit(1)).alias("k")).groupBy("e", "t").agg(F.count(F.lit(1)).alias("both")), "near-pairs")
-    entities = near.select("row", "e").distinct().groupBy("e").agg(F.count(F.lit(1)).alias("ce"))
-    wanted = held.select("t").distinct()
-    frequency = docs.select(text.alias("text")).mapInArrow(_document_frequency, "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("ct"))
-    pairs = held.join(frequency.join(wanted, "t", "left_semi"), "t").join(entities, "e")
+    own = held.select("place", F.explode("es").alias("e"))
+    entities = cut_lineage(own.groupBy("e").agg(F.count(F.lit(1)).alias("ce")).where(F.col("ce") < total), "entities")
+    own = join_bounded(own, entities, "e", "inner")
+    used = held.select("place", F.explode("ts").alias("t"))
+    most = entities.agg(F.max("ce")).first()[0] or 0
+    limit = F.pow(F.col("ce").cast("double"), F.lit(DISCLOSURE)) * float(max(total, 1)) ** (1 - DISCLOSURE) * (1 + 1e-9)
+    highest = most**DISCLOSURE * max(total, 1) ** (1 - DISCLOSURE) * (1 + 1e-9)
+    frequency = docs.select(text_of(docs).alias("text")).mapInArrow(_document_frequency, "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("ct"))
+    frequency = frequency.where(F.col("ct") <= highest).join(used.select("t").distinct(), "t", "left_semi")
+    rare = join_bounded(used, frequency, "t", "inner")
+    pairs = cut_lineage(own.join(rare, "place").where(F.col("ct") <= limit).select("place", "e", "t", "ce", "ct"), "pii-pairs")
+    both = pairs.groupBy("e", "t").agg(F.count(F.lit(1)).alias("both"), F.first("ce").alias("ce"), F.first("ct").alias("ct"))
     information = F.log2(F.lit(float(total)) / F.col("ce"))
     shared = F.log2(F.col("both") * F.lit(float(total)) / (F.col("ct") * F.col("ce")))
-    return pairs.where((F.col("ce") < total) & (shared >= information * DISCLOSURE)).select("e", "t")
+    told = both.where(shared >= information * DISCLOSURE).select("e", "t")
+    return join_bounded(pairs.select("place", "e", "t"), told, ["e", "t"], "left_semi").select("place", "t").distinct()
 
 
 def _span_text(spans: Column) -> Column:
@@ -199,15 +199,21 @@ def find(docs: DataFrame) -> DataFrame:
     rows = docs.select(
         docs["doc_id"],
         F.sha2(F.concat_ws(":", docs["doc_id"].cast("string"), text).cast("binary"), 256).alias("row"),
+        text.alias("text"),
         F.arrow_udf(_found, _FOUND)(text).alias("f"),
     )
-    rows = cut_lineage(rows.select("doc_id", "row", "f.base", "f.near"), "pii-spans")
-    near = rows.select("row", F.explode("near").alias("n")).select("row", "n.*")
-    told = disclosures(docs, near)
-    spans = near.join(told, ["e", "t"]).select("row", F.struct(F.lit("term").alias("kind"), "start", "end").alias("s")).distinct()
-    per_row = spans.groupBy("row").agg(F.sort_array(F.collect_list("s")).alias("terms"))
+    rows = rows.select("doc_id", "row", "text", "f.*")
+    some = F.size("base") > 0
+    # Every row is a document: numbered, and with its text only where that is needed again.
+    rows = rows.select("doc_id", "row", "base", "es", "ts", F.when(some, F.col("text")).alias("text"), F.monotonically_increasing_id().alias("place"))
+    rows = cut_lineage(rows, "pii-spans")
+    held = rows.where(some)
+    told = disclosures(docs, held.select("place", "es", "ts")).groupBy("place").agg(F.collect_list("t").alias("told"))
+    mentions = F.arrow_udf(_mentions, f"array<{_SPANS}>")
+    per_row = held.select("place", "text", "base").join(told, "place").select("place", mentions("text", "base", "told").alias("terms"))
+    rows = rows.select("doc_id", "row", "place", "base")
     none = F.array().cast(f"array<{_SPANS}>")
-    return rows.drop("near").join(per_row, "row", "left").withColumn("terms", F.coalesce("terms", none))
+    return rows.join(per_row, "place", "left").select("doc_id", "row", "base", F.coalesce("terms", none).alias("terms"))
 
 
 def decide(docs: DataFrame) -> DataFrame:

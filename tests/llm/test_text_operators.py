@@ -211,6 +211,18 @@ def test_pii(spark):
     assert pii.decide(cases.empty(spark)).count() == 0
 
 
+def test_pii_terms_far_from_the_entity(spark):
+    """A name is found wherever it stands, and every mention of it goes."""
+    letter = "Zorblat writes. " + cases.prose(7, 40) + " yours zorblat, jo@mail.example.com " + cases.prose(8, 30) + " ZORBLAT"
+    rows = [(i, letter if i < 3 else cases.prose(i, 60), "en", "s", 0) for i in range(60)]
+    docs = cases.frame(spark, rows)
+    got = next(r.spans for r in pii.decide(docs).collect() if r.doc_id == 0).split(",")
+    found = [letter[int(a) : int(b)] for k, a, b in (s.split(":") for s in got) if k == "term"]
+    assert found == ["Zorblat", "writes", "yours", "zorblat", "ZORBLAT"]
+    clean = next(r.text for r in pii.sanitise(docs).collect() if r.doc_id == 0)
+    assert "zorblat" not in clean.lower() and "<EMAIL>" in clean
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{x}}</style></head><body><nav><ul><li><a>M{0}</a></li></ul></nav>
 <div class="ad">Buy {0}</div><article><h1>Head&amp;line {0}</h1><p>One <b>bold</b>   text{0}<br>next<p>Two &lt;x&gt; {0}
 <div class="comments">Reader {0}</div></article><aside>Side</aside><form>F</form><footer>&copy; f</footer></body></html>"""
