@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import cut_lineage, join_bounded, new_path, text_of, without
+from .common import cut_lineage, join_bounded, new_path, text_of
 
 _SCHEMA = "digest binary, keep_id bigint, chars bigint, rows bigint"
 
@@ -97,8 +97,12 @@ def decide(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
 
 def deduplicate(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """The rows of `docs` that stay, all columns."""
-    marks = cut_lineage(decide(docs, index).select("doc_id", "kept"), "dedup-marks")
-    left = without(docs, marks.where(~F.col("kept")))
+    marks = cut_lineage(decide(docs, index).select("doc_id", "kept", "text_sha256"), "dedup-marks")
+    # Ids may be reused for different texts, so rows are dropped by id and digest.
+    dropped = marks.where(~F.col("kept")).select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha")).distinct()
+    dropped = dropped.select(F.struct("id", "sha").alias("_dropped"))
+    own = F.struct(docs["doc_id"].cast("bigint").alias("id"), digest(text_of(docs)).alias("sha"))
+    left = join_bounded(docs, dropped, own.eqNullSafe(F.col("_dropped")), "left_anti")
     repeated = cut_lineage(marks.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeats")
     if repeated.isEmpty():
         return left

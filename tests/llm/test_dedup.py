@@ -39,6 +39,12 @@ def test_exact_keeps_columns_and_one_row_of_repeats(spark):
     assert exact_dedup.deduplicate(cases.empty(spark)).columns == docs.columns
 
 
+def test_exact_keeps_the_unique_text_of_a_reused_id(spark):
+    docs = spark.createDataFrame([(1, "same text"), (2, "same text"), (2, "its own"), (None, "same text"), (None, "other")], "doc_id bigint, text string")
+    kept = {tuple(r) for r in exact_dedup.deduplicate(docs).collect()}
+    assert kept == {(1, "same text"), (2, "its own"), (None, "other")}
+
+
 def test_index_survives_and_grows(spark):
     path = new_path(spark, "index-test")
     first = exact_dedup.DigestIndex(spark, path, 3)
