@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, exact_dedup, html_extract, language_id, licences, near_dedup, packing, pii, quality, token_output, toxicity
+from . import alignment, decontaminate, exact_dedup, html_extract, language_id, licences, near_dedup, packing, pii, quality, repair, token_output, toxicity
 from .common import table
 
 ORDER_KEY = 20240607
@@ -57,10 +57,18 @@ def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.decide(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.decide(table(spark, sf_dir, "conversations"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.decide(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         op1_exact_dedup, op2_packing, op3_token_output, op4_pii, op5_decontamination,
         op6_html_text, op7_language_id, op8_toxicity, op9_licence_scan, op10_near_dedup,
-        op11_quality,
+        op11_quality, op12_conversation_repair, op13_token_alignment,
     ]
     return {f.__name__: f for f in named}
