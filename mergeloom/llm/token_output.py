@@ -39,7 +39,6 @@ END_ID = 1
 #: Slots of a shard; about half of them are taken.
 SHARD_SLOTS = 1 << 13
 _ROUNDS = 6
-_FILES = "path string, modificationTime timestamp, length bigint, content binary, shard bigint"
 
 
 def permuted(numbers: np.ndarray, size: int, key: int) -> np.ndarray:
@@ -66,8 +65,9 @@ class Shards:
     path: str
 
     def files(self) -> DataFrame:
-        reader = self.spark.read.format("binaryFile").schema(_FILES).option("pathGlobFilter", "*.txt")
-        return reader.load(self.path)
+        # The shard comes from the path: without files, Spark finds no partition column.
+        reader = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true")
+        return reader.load(self.path).withColumn("shard", F.regexp_extract("path", r"shard=(\d+)/[^/]*$", 1).cast("bigint"))
 
     def positions(self) -> DataFrame:
         """shard, path, length, records, first (position of the first record); a row per shard."""
