@@ -22,7 +22,28 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts
 
 
-def without(docs: DataFrame, dropped: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rows of `docs` whose key is not in `dropped`: a measured broadcast when
-    that is small, else a shuffled anti-join. Rows with a null key stay."""
-    return join_bounded(docs, dropped.select(key).distinct(), key, "left_anti")
+def unused(df: DataFrame, name: str) -> str:
+    """`name`, lengthened until no column of `df` has it."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
+def thinned(docs: DataFrame, key: Column, dropped: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Rows of `docs` whose key is not in `dropped`, and of those with a key in `repeated` one each.
+
+    `key` is a struct; `dropped` and `repeated` have one column of such. Nulls in keys are equal to nulls.
+    """
+    own = unused(docs, "_own")
+    keyed = docs.withColumn(own, key)
+    other = unused(keyed, "_other")
+
+    def met(df: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        return join_bounded(df, keys.toDF(other), df[own].eqNullSafe(F.col(other)), how)
+
+    left = met(keyed, dropped, "left_anti")
+    repeated = cut_lineage(repeated.toDF(other), "repeats")
+    if repeated.isEmpty():
+        return left.drop(own)
+    once = met(left, repeated, "left_semi").dropDuplicates([own])
+    return met(left, repeated, "left_anti").unionByName(once).drop(own)

@@ -7,9 +7,11 @@ sort-merge and appended. The index side of that join is never shuffled.
 
 Edge cases: null text counts as empty, and all empty or blank texts form one
 group. Among equal texts the one with the most code points stays, then the
-smallest doc_id (null ids last). Rows that repeat a doc_id and a text are one
+smallest doc_id (null ids last). Where that doc_id has several of the texts, only those with
+the most code points are marked kept. Rows that repeat a doc_id and a text are one
 document: both are marked like it. Extra columns are ignored by `decide`, and
-kept by `deduplicate`, which returns one row for such repeats. An empty table gives an empty result.
+kept by `deduplicate`, which returns one row of each group. A doc_id that is used for different texts
+stays with each of them that is unique. Very long texts are hashed whole. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import cut_lineage, join_bounded, new_path, text_of
+from .common import cut_lineage, new_path, text_of, thinned
 
 _SCHEMA = "digest binary, keep_id bigint, chars bigint, rows bigint"
 
@@ -55,7 +57,7 @@ class DigestIndex:
         """Decide on every row of `docs` and append its new digests.
 
         A digest seen in an earlier batch keeps the row chosen then; group_size
-        counts the rows of this batch.
+        counts the rows of this batch. `chars` is the row's own.
         """
         text = text_of(docs)
         rows = cut_lineage(
@@ -72,16 +74,18 @@ class DigestIndex:
         known = self.known().select("digest", "keep_id")
         fresh = groups.join(known.hint("merge"), "digest", "left_anti")
         seen = groups.drop("keep_id").join(known.hint("merge"), "digest")
-        decided = cut_lineage(fresh.select("digest", "keep_id", "rows", F.lit(True).alias("fresh")).unionByName(
-            seen.select("digest", "keep_id", "rows", F.lit(False).alias("fresh"))
+        most = F.col("chars").alias("most")
+        decided = cut_lineage(fresh.select("digest", "keep_id", "rows", most, F.lit(True).alias("fresh")).unionByName(
+            seen.select("digest", "keep_id", "rows", most, F.lit(False).alias("fresh"))
         ), "digest-decisions")
         self.append(groups.join(decided.where("fresh").select("digest"), "digest", "left_semi"))
         return rows.join(decided, "digest").select(
             "doc_id",
             "keep_id",
             F.col("rows").alias("group_size"),
-            (F.col("fresh") & F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"),
+            (F.col("fresh") & F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("chars") == F.col("most"))).alias("kept"),
             F.lower(F.hex("digest")).alias("text_sha256"),
+            "chars",
         )
 
 
@@ -92,20 +96,15 @@ def new_index(spark: SparkSession, buckets: int | None = None) -> DigestIndex:
 
 def decide(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for every row."""
-    return (index or new_index(docs.sparkSession)).add(docs)
+    return (index or new_index(docs.sparkSession)).add(docs).drop("chars")
 
 
 def deduplicate(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """The rows of `docs` that stay, all columns."""
-    marks = cut_lineage(decide(docs, index).select("doc_id", "kept", "text_sha256"), "dedup-marks")
-    # Ids may be reused for different texts, so rows are dropped by id and digest.
-    dropped = marks.where(~F.col("kept")).select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha")).distinct()
-    dropped = dropped.select(F.struct("id", "sha").alias("_dropped"))
-    own = F.struct(docs["doc_id"].cast("bigint").alias("id"), digest(text_of(docs)).alias("sha"))
-    left = join_bounded(docs, dropped, own.eqNullSafe(F.col("_dropped")), "left_anti")
-    repeated = cut_lineage(marks.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeats")
-    if repeated.isEmpty():
-        return left
-    once = join_bounded(left, repeated, left["doc_id"].eqNullSafe(repeated["doc_id"]), "left_semi")
-    rest = join_bounded(left, repeated, left["doc_id"].eqNullSafe(repeated["doc_id"]), "left_anti")
-    return rest.unionByName(once.dropDuplicates(["doc_id", "text"]))
+    rows = cut_lineage((index or new_index(docs.sparkSession)).add(docs), "dedup-marks")
+    rows = rows.select(F.struct(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha"), "chars").alias("own"), "kept")
+    # A digest keeps rows of one doc_id and one length, so its repeats share a key.
+    repeated = rows.where("kept").groupBy("own").count().where("count > 1").select("own")
+    text = text_of(docs)
+    own = F.struct(docs["doc_id"].cast("bigint").alias("id"), digest(text).alias("sha"), F.length(text).cast("bigint").alias("chars"))
+    return thinned(docs, own, rows.where("not kept").select("own").distinct(), repeated)

@@ -18,7 +18,9 @@ Edge cases: null text counts as empty. A document without words has an empty
 set, links to nothing and stays. Fewer than five words make one shingle. Rows
 that share a doc_id are one node of the link graph. A null doc_id is never a
 smallest id: such a row takes its class's component, or null and stays when it
-has none. Extra columns are ignored by `decide` and kept by `deduplicate`.
+has none. Extra columns are ignored by `decide` and kept by `deduplicate`, which decides by row: a doc_id
+used for different texts stays with each of them that `decide` keeps, and rows of one doc_id and
+one set stay once (the least MD5 of the text). Very long texts are worked on whole.
 """
 
 from __future__ import annotations
@@ -28,11 +30,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .blocks import NOT_SPACE, Words, grams, mix, plain, slices, words
 from ..operators.joins import join_back
-from .common import cut_lineage, join_bounded, text_of, without
+from .common import cut_lineage, join_bounded, text_of, thinned
 from .components import components
 
 SHINGLE = 5
@@ -171,9 +173,18 @@ def links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
 
 def decide(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row."""
+    return _decided(docs).drop("cls", "key")
+
+
+def _key(docs: DataFrame) -> Column:
+    return F.struct(docs["doc_id"].cast("bigint").alias("id"), F.md5(text_of(docs).cast("binary")).alias("md5"))
+
+
+def _decided(docs: DataFrame) -> DataFrame:
+    """`decide` with each row's class and key (doc_id, MD5 of the text)."""
     s = F.arrow_udf(_sketched, "struct<n:bigint,cls:binary,bands:array<bigint>>")(text_of(docs))
-    rows = cut_lineage(docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), s.alias("s")), "sketches")
-    rows = rows.select("doc_id", "s.n", "s.cls", "s.bands")
+    rows = cut_lineage(docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), _key(docs).alias("key"), s.alias("s")), "sketches")
+    rows = rows.select("doc_id", "key", "s.n", "s.cls", "s.bands")
     classes = cut_lineage(rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep")), "classes")
     reps = rows.where("cls is not null and doc_id is not null").join(
         classes.select("cls", F.col("rep").alias("doc_id")), ["cls", "doc_id"], "left_semi"
@@ -183,14 +194,24 @@ def decide(docs: DataFrame) -> DataFrame:
         "cls", F.coalesce("root", "rep").alias("component_id")
     )
     component = F.coalesce("component_id", "doc_id")
-    return rows.select("doc_id", "n", "cls").join(placed, "cls", "left").select(
+    return rows.select("doc_id", "key", "n", "cls").join(placed, "cls", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"),
+        "cls",
+        "key",
     )
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """One document of every component, all columns."""
-    return without(docs, decide(docs).where(~F.col("kept")))
+    rows = cut_lineage(_decided(docs).select("doc_id", "cls", "key", "kept"), "near-marks")
+    same = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.hex("cls")).cast("binary"))
+    per_key = rows.where("kept and cls is not null").groupBy(same.alias("same"), "key").agg(F.count(F.lit(1)).alias("rows"))
+    per_set = per_key.groupBy("same").agg(F.min("key").alias("least"), F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("texts"))
+    per_set = cut_lineage(per_set.where("rows > 1"), "repeated-sets")
+    others = join_back(per_key.select("same", "key"), per_set.where("texts > 1").select("same", "least"), "same")
+    others = others.where("key <> least").select("key")
+    dropped = rows.where("not kept").select("key").unionByName(others).distinct()
+    return thinned(docs, _key(docs), dropped, per_set.select("least"))

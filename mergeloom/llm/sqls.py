@@ -10,7 +10,7 @@ WITH d AS (
 SELECT doc_id,
        first_value(doc_id) OVER w AS keep_id,
        count(*) OVER (PARTITION BY text_sha256) AS group_size,
-       doc_id = first_value(doc_id) OVER w AS kept,
+       doc_id = first_value(doc_id) OVER w AND chars = first_value(chars) OVER w AS kept,
        text_sha256
 FROM d
 WINDOW w AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id)

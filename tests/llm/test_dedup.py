@@ -20,7 +20,8 @@ def exact_model(rows):
     out = []
     for sha, group in groups.items():
         keep = min(group, key=lambda r: (-len(r[1] or ""), r[0] is None, r[0] or 0))[0]
-        out += [(r[0], keep, len(group), r[0] == keep, sha) for r in group]
+        most = max(len(r[1] or "") for r in group)
+        out += [(r[0], keep, len(group), r[0] == keep and len(r[1] or "") == most, sha) for r in group]
     return sorted(out, key=str)
 
 
@@ -45,6 +46,34 @@ def test_exact_keeps_the_unique_text_of_a_reused_id(spark):
     assert kept == {(1, "same text"), (2, "its own"), (None, "other")}
 
 
+TWICE = "doc_id bigint, text string"
+
+
+def bag(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_exact_by_row(spark):
+    """Repeated rows that stay, one id for two unique texts, and for two forms of one text."""
+    rows = [(1, "ab"), (1, "ab"), (2, "x y"), (2, "xy"), (3, "one"), (3, "two"), (None, "three"), (None, "three"), (None, None), (9, " ")]
+    docs = spark.createDataFrame(rows, TWICE)
+    assert bag(exact_dedup.decide(docs)) == exact_model(rows)
+    assert bag(exact_dedup.deduplicate(docs)) == sorted([(1, "ab"), (2, "x y"), (3, "one"), (3, "two"), (None, "three"), (9, " ")], key=str)
+
+
+def test_near_by_row(spark):
+    a, z = cases.prose(1, 60), cases.prose(2, 60)
+    near = a.replace("river", "rivers", 1)
+    rows = [(5, a), (7, a), (7, z), (None, a), (8, near), (9, z.upper()), (9, z), (11, "own text"), (11, "own text"), (11, "OWN text"), (None, ""), (None, None), (12, "")]
+    docs = spark.createDataFrame(rows, TWICE)
+    kept = bag(near_dedup.deduplicate(docs))
+    upper = min("own text", "OWN text", key=lambda t: hashlib.md5(t.encode()).hexdigest())
+    assert kept == sorted([(5, a), (7, z), (11, upper), (None, ""), (None, None), (12, "")], key=str)
+    wide = near_dedup.deduplicate(cases.frame(spark))
+    assert wide.columns == cases.frame(spark).columns and wide.where("doc_id is null").count() == 0
+    assert near_dedup.deduplicate(cases.empty(spark)).count() == 0
+
+
 def test_index_survives_and_grows(spark):
     path = new_path(spark, "index-test")
     first = exact_dedup.DigestIndex(spark, path, 3)

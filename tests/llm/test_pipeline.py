@@ -41,6 +41,21 @@ def test_against_models(spark, sf):
     assert dict(got) == want
 
 
+def test_reused_and_repeated_ids(spark, tmp_path):
+    """Every unique text is packed once, whatever its id."""
+    text = [cases.prose(i, 60) for i in range(4)]
+    rows = [(1, text[0]), (1, text[0]), (2, text[0]), (2, text[1]), (2, text[2]), (None, text[3]), (None, text[3]), (None, text[0])]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], cases.SCHEMA)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, cases.prose(90, 40))], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = defaultdict(int)
+    for p in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        got[p.doc_id] += p.length
+    size = [len(reference(t)) + 1 for t in text]
+    # The null id's copy of text 0 goes, its own text stays once.
+    assert dict(got) == {1: size[0], 2: size[1] + size[2], None: size[3]}
+
+
 def test_registered_names():
     names = list(queries.queries())
     assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, len(names) + 1)] and len(names) >= 11
