@@ -109,32 +109,103 @@ def list_rows(column: pa.ListArray):
     return column.flatten().to_numpy(zero_copy_only=False), lengths
 
 
-def pair_totals(values, lengths, weights, ranks):
+def _adjacent(values: np.ndarray, lengths: np.ndarray):
+    """(at, row, key) of every adjacent pair; key is left << 32 | right."""
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    at = np.flatnonzero(row[1:] == row[:-1])
+    return at, row[at], (values[at].astype(np.int64) << 32) | values[at + 1]
+
+
+def _known(keys: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    if not len(ordered):
+        return np.zeros(len(keys), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, keys), len(ordered) - 1)] == keys
+
+
+def listed_pairs(values: np.ndarray, lengths: np.ndarray, wanted: np.ndarray):
+    """(row, key) of the distinct pairs of each row that are in `wanted` (sorted)."""
+    _, row, key = _adjacent(values, lengths)
+    hit = _known(key, wanted)
+    row, key = row[hit], key[hit]
+    order = np.lexsort((key, row))
+    row, key = row[order], key[order]
+    fresh = np.ones(len(row), bool)
+    fresh[1:] = (row[1:] != row[:-1]) | (key[1:] != key[:-1])
+    return row[fresh], key[fresh]
+
+
+def row_owners(values: np.ndarray, lengths: np.ndarray, table: MergeRanks) -> np.ndarray:
+    """The least rank of any pair in each row; no row is empty."""
+    if not len(lengths):
+        return np.empty(0, np.int64)
+    ranks = np.full(len(values), _NONE)
+    ranks[:-1] = table.lookup(values[:-1], values[1:])
+    ends = np.cumsum(lengths)
+    ranks[ends - 1] = _NONE  # pairs do not reach over rows
+    return np.minimum.reduceat(ranks, ends - lengths)
+
+
+def pair_totals(values, lengths, weights, ranks, widths=None):
     """(key, cnt, rank, index) of the adjacent pairs in one batch of rows.
 
     key is left << 32 | right; cnt sums the weights of the rows, counting each
-    overlapping occurrence; (rank, index) is the least place of the pair.
+    overlapping occurrence; (rank, index) is the least place of the pair. With
+    `widths` by id, index adds up the widths of the tokens before.
     """
     if len(ranks) and (np.diff(ranks) < 0).any():
         by_rank = np.argsort(ranks, kind="stable")
         values, lengths = take_rows(values, lengths, by_rank)
         weights, ranks = weights[by_rank], ranks[by_rank]
-    row = np.repeat(np.arange(len(lengths)), lengths)
-    at = np.flatnonzero(row[1:] == row[:-1])
+    at, row, key = _adjacent(values, lengths)
     if not len(at):
         empty = np.empty(0, np.int64)
         return empty, empty, empty, empty
-    key = (values[at].astype(np.int64) << 32) | values[at + 1]
     # A stable sort leaves each pair's places in order.
     order = np.argsort(key, kind="stable")
-    key, owner = key[order], row[at[order]]
+    key, owner = key[order], row[order]
     starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     cnt = np.add.reduceat(weights[owner], starts)
     first = owner[starts]
-    index = at[order[starts]] - (np.cumsum(lengths) - lengths)[first]
+    before = np.arange(len(values) + 1) if widths is None else np.r_[0, np.cumsum(widths[values])]
+    index = before[at[order[starts]]] - before[np.cumsum(lengths) - lengths][first]
     return key[starts], cnt, ranks[first], index
 
 
+def changed_totals(old, new, weights, ranks, widths, keys, next_id):
+    """(key, cnt, rank, index, after): totals of `old` rows, counted down, and of `new` ones.
+
+    Only pairs in `keys` (sorted), and pairs with an id from `next_id` on, are told; rows
+    and pairs that are the same in both aren't. Without `new`, totals of `old` are told as if new.
+    """
+    if new is None:
+        totals = pair_totals(*old, weights, ranks, widths)
+        wanted = _known(totals[0], keys)
+        return (*(t[wanted] for t in totals), np.ones(int(wanted.sum()), np.int64))
+    touched = np.flatnonzero(old[1] != new[1])  # a merge shortens its row
+    weights, ranks = weights[touched], ranks[touched]
+    parts = []
+    for after, rows in enumerate((old, new)):
+        key, cnt, rank, index = pair_totals(*take_rows(*rows, touched), weights, ranks, widths)
+        wanted = _known(key, keys) | (key >> 32 >= next_id) | (key & 0xFFFFFFFF >= next_id)
+        parts.append([t[wanted] for t in (key, cnt if after else -cnt, rank, index, np.full(len(key), after))])
+    lost, won = parts
+    _, a, b = np.intersect1d(lost[0], won[0], assume_unique=True, return_indices=True)
+    same = (lost[1][a] == -won[1][b]) & (lost[2][a] == won[2][b]) & (lost[3][a] == won[3][b])
+    return tuple(np.r_[np.delete(x, a[same]), np.delete(y, b[same])] for x, y in zip(lost, won))
+
+
+def combined_totals(parts):
+    """Totals (key, cnt, rank, index, after) of several batches as one per (key, after), ordered by it."""
+    if not parts:
+        return tuple(np.empty(0, np.int64) for _ in range(5))
+    key, cnt, rank, index, after = (np.concatenate(c) for c in zip(*parts))
+    order = np.lexsort((index, rank, after, key))
+    key, cnt, rank, index, after = (c[order] for c in (key, cnt, rank, index, after))
+    starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (after[1:] != after[:-1])]) if len(key) else np.empty(0, np.int64)
+    sums = np.add.reduceat(cnt, starts) if len(key) else cnt
+    return key[starts], sums, rank[starts], index[starts], after[starts]
+
+
 def take_rows(values: np.ndarray, lengths: np.ndarray, picks: np.ndarray):
     """Concatenate the picked rows of a ragged array."""
     starts = np.cumsum(lengths) - lengths
@@ -149,3 +220,18 @@ def to_list_array(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
         raise OverflowError("a batch of over 2^31 tokens: lower spark.sql.execution.arrow.maxRecordsPerBatch")
     offsets = offsets.astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
+
+
+def next_in_chain(groups: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Whether each row but the last ends where the next one begins, in the same group."""
+    return (groups[1:] == groups[:-1]) & (starts[:-1] + lengths[:-1] == starts[1:])
+
+
+def shifted_rows(values: np.ndarray, lengths: np.ndarray, follows: np.ndarray) -> pa.ListArray:
+    """Every value's successor in its row; a row's last one has the next row's first
+    value where that `follows`, else null. No row is empty."""
+    ends = np.cumsum(lengths)
+    successors = np.r_[values[1:], 0].astype(np.int32)
+    missing = np.zeros(len(values), bool)
+    missing[ends[~follows] - 1] = True
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(successors, mask=missing))

@@ -76,22 +76,30 @@ def batch_schedule(micro_steps: DataFrame, lengths: DataFrame, B: int, T: int, g
 
     `micro_steps` has (step, micro); batches are read shard by shard in order
     and start over after the last one. Adds (cycle, shard_id, batch_idx).
+
+    A shard is an interval of batch numbers. Numbers are cut into as many equal stretches as
+    there are shards; a shard stands under each stretch it reaches into (three times as many rows as shards at most),
+    a step under the one its number falls into, and the interval that holds the number wins. So what
+    is joined does not depend on the number of batches.
     """
     served = shard_batches(lengths, B, T)
-    numbered = running(served, "shard_id", {"before": ("sum", F.col("n_batches"), False)})
-    slots = numbered.withColumn(
-        "batch_idx", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_batches") - 1))
-    ).select("shard_id", "batch_idx", (F.col("before") + F.col("batch_idx")).alias("slot"))
-    total = served.agg(F.sum("n_batches")).first()[0] or 1  # without shards there is no slot to meet
+    starts = running(served, "shard_id", {"before": ("sum", F.col("n_batches"), False)})
+    total, shards = served.agg(F.coalesce(F.sum("n_batches"), F.lit(0)), F.count(F.lit(1))).first()
+    total = max(total, 1)  # without shards there is nothing to meet
+    stretch = -(-total // max(shards, 1))
+    reach = F.sequence(F.expr(f"before div {stretch}"), F.expr(f"(before + n_batches - 1) div {stretch}"))
+    spans = starts.select("shard_id", "before", "n_batches", F.explode(reach).alias("_stretch"))
     number = F.col("step").cast("bigint") * grad_accum + F.col("micro")
-    wanted = micro_steps.withColumn("_n", number)
-    numbered_steps = wanted.select(
+    wanted = micro_steps.withColumn("_n", number).select(
         *micro_steps.columns,
         F.expr(f"_n div {total}").alias("cycle"),
-        F.expr(f"_n % {total}").alias("slot"),
+        F.expr(f"_n % {total}").alias("_slot"),
+        F.expr(f"_n % {total} div {stretch}").alias("_stretch"),
+    )
+    inside = (F.col("_slot") >= F.col("before")) & (F.col("_slot") < F.col("before") + F.col("n_batches"))
+    return join_bounded(wanted, spans, "_stretch").where(inside).select(
+        *micro_steps.columns, "cycle", "shard_id", (F.col("_slot") - F.col("before")).alias("batch_idx")
     )
-    # Few slots are broadcast; where they are too many for that, none is a hot key.
-    return join_bounded(numbered_steps, slots, "slot").drop("slot")
 
 
 def round_robin(df: DataFrame, index: str, world: int) -> DataFrame:

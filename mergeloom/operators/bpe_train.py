@@ -1,13 +1,24 @@
 """Byte-pair training as Spark jobs over the chunk dictionary.
 
 State is a table (tokens, cnt, rank): distinct chunks as token arrays, their
-weight, and their position in corpus order. One job per round counts all
-adjacent pairs; the driver sees only the best few pairs and keeps the merges.
+weight, and their position in corpus order. Pairs are counted once; from then on
+counts are carried from round to round:
+
+* The best pairs (at most `_LEADERS`) are held with their counts and first places, and an index
+  stored by pair names the chunks that hold each of them (`pair_index`).
+* A round merges a run of pairs. One job reads the chunks the index names for them and adds up
+  signed changes of counts and places; no other chunk is read.
+* Counts of pairs only fall, but for pairs with a new id, which that job counts in full. So a
+  pair that isn't held stays behind the best one that was left out. When the best pair held
+  falls behind that one too, the merges made are written into the state, and pairs are counted and indexed anew.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections import Counter
+from dataclasses import dataclass, field
+from heapq import nsmallest
+from itertools import takewhile
 from typing import Iterator
 
 import pyarrow as pa
@@ -19,14 +30,15 @@ from ..functions.codes import byte_codes, code_ids
 from ..functions.ragged import MergeRanks, list_rows, merge_rows, pair_totals, to_list_array
 from ..session import cut_lineage
 from .dictionary import corpus_position
+from .pair_index import Change, Pair, PairIndex
 from .tokenizer import FIRST_MERGE_ID, Tokenizer
 
 cloudpickle.register_pickle_by_value(ragged)
 
-# Best pairs fetched per round and merges applied on the fly before the state
-# is rewritten.
-_FETCH = 128
-_REWRITE_AFTER = 64
+# Pairs held with their counts; four times as many before the last ones are let go.
+_LEADERS = 2048
+# Best pairs from which a round's run is taken.
+_RUN = 128
 
 TRACE_SCHEMA = T.StructType(
     [
@@ -45,6 +57,11 @@ class Training:
     tokenizer: Tokenizer
     counts: tuple[int, ...]
     rounds: int
+    # Per round: merges, and chunks read for them.
+    merged: tuple[int, ...] = ()
+    touched: tuple[int, ...] = ()
+    # How often pairs were counted and indexed.
+    epochs: int = 0
 
     def trace(self, spark: SparkSession) -> DataFrame:
         """One row per merge: pair, new id, bytes and the winning count."""
@@ -160,6 +177,93 @@ def independent_prefix(ranked: list[tuple[int, int, int]]) -> list[tuple[int, in
     return run
 
 
+@dataclass
+class _Held:
+    cnt: int
+    first: int
+    # Whether `first` is the first place, or a place that the first one isn't before.
+    exact: bool = True
+
+    @property
+    def key(self) -> tuple[int, int]:
+        return -self.cnt, self.first
+
+
+@dataclass
+class _Epoch:
+    """Pairs held since they were last counted, and the merges made since."""
+
+    state: DataFrame
+    first_id: int
+    held: dict[Pair, _Held] = field(default_factory=dict)
+    made: list[Pair] = field(default_factory=list)
+    # Tokens, as of the index, of ids made since.
+    spelled: dict[int, tuple[int, ...]] = field(default_factory=dict)
+
+    def __post_init__(self) -> None:
+        rows = best_pairs(pair_counts(self.state), _LEADERS + 1).collect()
+        found = [((r["left"], r["right"]), _Held(r["cnt"], int(r["first"]))) for r in rows]
+        # Every pair that isn't held comes at or after this key.
+        self.limit = found[_LEADERS][1].key if len(found) > _LEADERS else (0, 0)
+        self.held = dict(found[:_LEADERS])
+        self.indexed = {pair: h.cnt for pair, h in self.held.items()}
+        self.index = PairIndex(self.state, list(self.held), self.first_id) if self.held else None
+
+    def _root(self, pair: Pair) -> Pair:
+        """The rarest indexed pair that every chunk with `pair` holds."""
+        tokens = [t for token in pair for t in self.spelled.get(token, (token,))]
+        inner = [p for p in zip(tokens, tokens[1:]) if p in self.indexed]
+        return min(inner, key=self.indexed.__getitem__)
+
+    def _roots(self, pairs: list[Pair]) -> list[Pair]:
+        return sorted({self._root(p) for p in pairs})
+
+    def run(self, batched: bool) -> tuple[list[tuple[int, int, int]], int]:
+        """The next pairs to merge (left, right, cnt), none if they may not be held; and chunks read."""
+        read = 0
+        while True:
+            best = nsmallest(_RUN, self.held.items(), key=lambda x: x[1].key)
+            least = -self.limit[0]
+            sure = takewhile(lambda x: x[1].cnt > least or (x[1].exact and x[1].key < self.limit), best)
+            run = independent_prefix([(*pair, h.cnt) for pair, h in sure])[: None if batched else 1]
+            alike = Counter(h.cnt for h in self.held.values())
+            tied = {cnt for _, _, cnt in run if alike[cnt] > 1 and cnt > least}
+            unsure = [pair for pair, h in self.held.items() if h.cnt in tied and not h.exact]
+            if not unsure:
+                return run, read
+            found, chunks = self.index.changes(self._roots(unsure), self.made, [], unsure, 0)
+            read += chunks
+            for pair in unsure:
+                self.held[pair] = _Held(self.held[pair].cnt, found[pair].after)
+
+    def merge(self, run: list[Pair]) -> int:
+        """Merge the run and bring what is held up to date; returns the number of chunks read."""
+        next_id = self.first_id + len(self.made)
+        roots, least = self._roots(run), max(1, -self.limit[0])
+        changes, read = self.index.changes(roots, self.made, run, list(self.held), least)
+        for i, pair in enumerate(run):
+            self.spelled[next_id + i] = tuple(t for token in pair for t in self.spelled.get(token, (token,)))
+        self.made += run
+        for pair, change in changes.items():
+            old = self.held.pop(pair, None)
+            new = _Held(change.cnt, change.after) if old is None else self._moved(old, change)
+            if new.cnt:
+                self.held[pair] = new
+        for pair in run:
+            self.held.pop(pair, None)
+        if len(self.held) > 4 * _LEADERS:
+            kept = nsmallest(2 * _LEADERS + 1, self.held.items(), key=lambda x: x[1].key)
+            self.limit = min(self.limit, (kept[-1][1].key[0], -1))
+            self.held = dict(kept[:-1])
+        return read
+
+    @staticmethod
+    def _moved(old: _Held, change: Change) -> _Held:
+        """Unless the first place was lost, it stays."""
+        lost = change.before is not None and change.before <= old.first and change.after != old.first
+        return _Held(old.cnt + change.cnt, old.first, old.exact and not lost)
+
+
 def train(
     dictionary: DataFrame,
     vocab_size: int,
@@ -179,25 +283,28 @@ def train(
     if wanted == 0:
         return Training(Tokenizer(name, **made), (), 0)
     state = training_state(dictionary)
-    merges: list[tuple[int, int]] = []
+    merges: list[Pair] = []
     counts: list[int] = []
-    folded = rounds = 0
+    sizes, touched, epochs, epoch = [], [], 0, None
     while len(merges) < wanted:
-        if len(merges) - folded >= _REWRITE_AFTER:
-            state = cut_lineage(
-                advance(state, merges[folded:], FIRST_MERGE_ID + folded), "bpe-state"
-            )
-            folded = len(merges)
-        pending = pair_counts(state, merges[folded:], FIRST_MERGE_ID + folded)
-        best = [(r["left"], r["right"], r["cnt"]) for r in best_pairs(pending, _FETCH).collect()]
-        rounds += 1
-        if not best:
-            raise ValueError(f"no pairs left after {len(merges)} merges")
-        run = independent_prefix(best) if batched else best[:1]
-        for left, right, cnt in run[: wanted - len(merges)]:
-            merges.append((left, right))
-            counts.append(cnt)
-    return Training(Tokenizer(name, tuple(merges), **made), tuple(counts), rounds)
+        run, read = epoch.run(batched) if epoch else ([], 0)
+        if not run:
+            if epoch and not epoch.limit[0]:  # all pairs were held
+                raise ValueError(f"no pairs left after {len(merges)} merges")
+            if epoch and epoch.made:
+                state = cut_lineage(advance(state, epoch.made, epoch.first_id), "bpe-state")
+            epoch, epochs = _Epoch(state, FIRST_MERGE_ID + len(merges)), epochs + 1
+            if not epoch.held:
+                raise ValueError(f"no pairs left after {len(merges)} merges")
+            continue
+        run = run[: wanted - len(merges)]
+        merges += [(left, right) for left, right, _ in run]
+        counts += [cnt for _, _, cnt in run]
+        if len(merges) < wanted:
+            read += epoch.merge([(left, right) for left, right, _ in run])
+        sizes.append(len(run))
+        touched.append(read)
+    return Training(Tokenizer(name, tuple(merges), **made), tuple(counts), len(sizes), tuple(sizes), tuple(touched), epochs)
 
 
 def train_sizes(

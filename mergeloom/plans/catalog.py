@@ -74,13 +74,17 @@ def token_docs(spark, sf) -> DataFrame:
     )
 
 
-def shard_pieces(spark, sf) -> DataFrame:
+def shard_path(spark, sf) -> str:
     def make():
         path = new_path(spark, "shards")
         shards.write_shards(packing.pack_shards(token_docs(spark, sf), SHARD), path)
         return path
 
-    return shards.read_shards(spark, _once(spark, sf, "shards", make))
+    return _once(spark, sf, "shards", make)
+
+
+def shard_pieces(spark, sf) -> DataFrame:
+    return shards.read_shards(spark, shard_path(spark, sf))
 
 
 def by_language(spark, sf) -> DataFrame:
@@ -232,7 +236,7 @@ def s11_config_table(spark, sf):
 def k1_shard_write(spark, sf):
     pieces = shard_pieces(spark, sf)
     names = shards.list_shards(pieces)
-    return packing.shard_lengths(pieces).join(names, ["split", "shard_id"])
+    return shards.read_manifest(spark, shard_path(spark, sf)).join(names, ["split", "shard_id"])
 
 
 def k2_model_save(spark, sf):
@@ -557,6 +561,22 @@ def a10_distinct_tokens(spark, sf):
     return report.count_metrics(token_counts(spark, sf)).select("sample", "tokenizer", "tokens", "unique_tokens")
 
 
+def a10_distinct_sketch(spark, sf):
+    """Sketches of every source, stored one after the other and merged by language,
+    against the exact count."""
+    rows = corpus.spread(corpus.table(spark, sf, "documents").select("doc_id", F.col("lang").alias("sample"), "source", "text"))
+    coded = cut_lineage(codec.encode_documents(rows, tokenizer(spark, sf)).withColumn("tokenizer", F.lit(BIG)), "coded")
+    path, keys = new_path(spark, "sketches"), ["sample", "tokenizer"]
+    report.add_sketches(coded.where("doc_id % 2 = 0"), path, [*keys, "source"])
+    report.add_sketches(coded.where("doc_id % 2 <> 0"), path, [*keys, "source"])
+    stored = spark.read.schema("sample string, tokenizer string, source string, sketch binary").parquet(path)
+    exact = coded.select(*keys, F.explode("tokens").alias("id")).groupBy(*keys).agg(F.count_distinct("id").alias("unique_tokens"))
+    error = F.abs(F.col("unique_estimate") - F.col("unique_tokens")) / F.col("unique_tokens")
+    return exact.join(report.estimated_distinct(stored), keys).select(
+        *keys, "unique_tokens", (error <= report.SKETCH_ERROR).alias("within_bound")
+    )
+
+
 def a11_byte_tokens(spark, sf):
     rows = report.count_metrics(token_counts(spark, sf))
     return rows.select("sample", "tokenizer", "byte_cnt", (F.col("tokens") - F.col("byte_cnt")).alias("merge_cnt"))
@@ -758,7 +778,7 @@ def w10_final_validation(spark, sf):
 
 def w11_batch_schedule(spark, sf):
     micro = derived.micro_loss(train_log(spark, sf)).select("run_name", "step", "micro")
-    lengths = packing.shard_lengths(shard_pieces(spark, sf).filter(F.col("split") == "train"))
+    lengths = shards.read_manifest(spark, shard_path(spark, sf), "train")
     return batches.batch_schedule(micro, lengths, B, T, 8)
 
 

@@ -247,6 +247,12 @@ _VOCAB = (
     "vocab AS MATERIALIZED (SELECT i::INT AS id, NULL::INT AS \"left\", NULL::INT AS \"right\", printf('%02X', i::INT) AS h "
     "FROM range(0, 256) t(i) UNION ALL SELECT id::INT, \"left\"::INT, \"right\"::INT, " + _HEX + " FROM exp)"
 )
+# Bytes as hex of every id in order, one fold over the pairs.
+_SPELLED = (
+    "spelled AS (SELECT list_reduce(list_prepend(list_transform(range(0, 256), lambda i: printf('%02X', i::INT)), "
+    "(SELECT list([pair[1], pair[2]] ORDER BY rank) FROM pairs)), "
+    "lambda a, p: list_append(a, a[ord(p[1]) - 255] || a[ord(p[2]) - 255])) AS h)"
+)
 # Shown form of a byte string given as hex: broken characters at either end (two-byte
 # characters are the longest in these texts) and escapes of control characters.
 _BROKEN_START = "regexp_extract(h, '^((?:[89AB][0-9A-F])*)', 1)"
@@ -442,8 +448,8 @@ def sql() -> dict[str, str]:
         "SELECT chunk, cnt, d AS first_doc, i::INT AS first_idx FROM dict"
     )
     q["a5_bpe_train"] = _with(_TRAIN) + "SELECT rank, \"left\", \"right\", id FROM merges"
-    q["a22_training_trace"] = _with(_TRAIN, _VOCAB) + (
-        "SELECT rank, m.\"left\", m.\"right\", m.id, h AS bytes, n AS cnt FROM merges m JOIN vocab v ON v.id = m.id"
+    q["a22_training_trace"] = _with(_TRAIN, _SPELLED) + (
+        "SELECT rank, \"left\", \"right\", id, (SELECT h FROM spelled)[id + 1] AS bytes, n AS cnt FROM merges"
     )
     q["a6_token_frequency"] = _with(*tc) + "SELECT sample, tokenizer, id, cnt FROM tc"
     q["a7_tokenizer_report"] = _with(*tc) + """SELECT sample, tokenizer, bytes, words, tokens, uniq AS unique_tokens, v::BIGINT AS vocab_size,
@@ -460,6 +466,9 @@ def sql() -> dict[str, str]:
     )
     q["a9_entropy"] = _with(*tc) + "SELECT sample, tokenizer, round(entropy, 6) AS entropy FROM metrics"
     q["a10_distinct_tokens"] = _with(*tc) + "SELECT sample, tokenizer, tokens, uniq AS unique_tokens FROM metrics"
+    q["a10_distinct_sketch"] = _with(_TRAIN, _DOCS) + f"""SELECT lang AS sample, {_q(BIG)} AS tokenizer,
+        count(DISTINCT c)::BIGINT AS unique_tokens, true AS within_bound
+        FROM (SELECT lang, unnest(string_split(code, '')) AS c FROM enc JOIN documents USING (doc_id)) WHERE c <> '' GROUP BY lang"""
     q["a11_byte_tokens"] = _with(*tc) + (
         "SELECT sample, tokenizer, byte_cnt, (tokens - byte_cnt)::BIGINT AS merge_cnt FROM metrics"
     )

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import model
+from mergeloom.functions import ragged
 from mergeloom.functions.ragged import MergeRanks, merge_rows, pair_totals
 from mergeloom.operators import codec, dictionary
 from mergeloom.operators.bpe_train import independent_prefix, train, train_sizes
@@ -47,14 +48,64 @@ def test_tiny_words_ties_and_overlap(spark):
     assert list(got.tokenizer.merges) == merges
 
 
-def test_state_rewrites_do_not_change_the_result(spark, monkeypatch):
+@pytest.mark.parametrize("leaders", [1, 3, 12])
+def test_counting_anew_does_not_change_the_result(spark, monkeypatch, leaders):
+    """With few pairs held, training counts and indexes many times; ties are common in such words."""
     import mergeloom.operators.bpe_train as module
 
-    texts = words(4, 10, "abcde")
-    d = dictionary.chunk_dictionary(with_separators(corpus(spark, texts)))
-    want = train(d, 300).tokenizer.merges
-    monkeypatch.setattr(module, "_REWRITE_AFTER", 5)
-    assert train(d, 300).tokenizer.merges == want
+    monkeypatch.setattr(module, "_LEADERS", leaders)
+    texts = words(4, 6, "abcd", 9)
+    merges, counts = model.train("\n\n".join(texts), 20)
+    got = train(dictionary.chunk_dictionary(with_separators(corpus(spark, texts))), 276)
+    assert (list(got.tokenizer.merges), list(got.counts)) == (merges, counts)
+    assert got.epochs > 2 and sum(got.merged) == 20 and len(got.merged) == len(got.touched) == got.rounds
+
+
+def test_rounds_read_only_chunks_of_their_pairs(spark, sf):
+    """Chunks read per merge fall, and a round of one pair reads those that hold it."""
+    d = dictionary.chunk_dictionary(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"))
+    got = train(d, 256 + 100)
+    chunks = [r["chunk"].encode() for r in d.collect()]
+    per_merge = [t / m for t, m in zip(got.touched, got.merged)]
+    assert got.epochs == 1 and sum(per_merge[-6:-1]) < sum(per_merge[:5]) / 2
+    first = bytes(got.tokenizer.merges[0])
+    assert got.merged[0] > 1 or got.touched[0] == sum(first in c for c in chunks)
+    assert sum(got.touched) < len(chunks) * got.rounds / 3
+
+
+def random_rows(rng, ids):
+    rows = [[rng.randrange(ids) for _ in range(rng.randrange(2, 12))] for _ in range(30)]
+    lengths = np.array([len(r) for r in rows], np.int64)
+    return np.array([t for r in rows for t in r], np.int32), lengths
+
+
+def test_changed_totals_are_the_difference_of_full_counts():
+    rng = random.Random(6)
+    for _ in range(200):
+        values, lengths = random_rows(rng, 4)
+        weights = np.array([rng.randrange(1, 9) for _ in lengths])
+        ranks, widths = np.arange(len(lengths)), np.ones(10, np.int64)
+        run = rng.sample([(a, b) for a in range(4) for b in range(4)], 2)
+        widths[8:10] = 2
+        keys = np.sort(np.array([a << 32 | b for a in range(4) for b in range(4)], np.int64))
+        new = merge_rows(values, lengths, MergeRanks(run, 8))
+        full = [dict(zip(t[0].tolist(), zip(*(x.tolist() for x in t[1:])))) for t in (pair_totals(values, lengths, weights, ranks), pair_totals(*new, weights, ranks, widths))]
+        # In two batches, added up.
+        half = len(lengths) // 2
+        cut = [(v[: n[:half].sum()], n[:half], v[n[:half].sum() :], n[half:]) for v, n in ((values, lengths), new)]
+        parts = [
+            ragged.changed_totals(cut[0][2 * i : 2 * i + 2], cut[1][2 * i : 2 * i + 2], w, r, widths, keys, 8)
+            for i, (w, r) in enumerate([(weights[:half], ranks[:half]), (weights[half:], ranks[half:])])
+        ]
+        told = {}
+        for key, cnt, rank, index, after in zip(*(t.tolist() for t in ragged.combined_totals(parts))):
+            told.setdefault(key, {})[after] = (cnt, rank, index)
+        for key in full[0].keys() | full[1].keys():
+            before, now = full[0].get(key, (0,)), full[1].get(key, (0,))
+            change = told.get(key, {})
+            assert now[0] - before[0] == sum(c[0] for c in change.values())
+            if before[0] == 0:
+                assert change[1][1:] == now[1:]
 
 
 def test_training_errors(spark):

@@ -118,6 +118,57 @@ def test_next_tokens(spark):
     assert got == {(0, 0): [2, 3, 4], (0, 3): [5], (0, 4): [None], (1, 0): [7, 8, None]}
 
 
+def labelled(docs, size):
+    """Successors in each shard of the plain stream."""
+    return {i: [*s[1:], None] for i, s in enumerate(model.pack(docs, size))}
+
+
+@pytest.mark.parametrize("parts,batch", [(1, 10_000), (5, 3), (9, 1)])
+def test_next_tokens_over_partitions(spark, tmp_path, parts, batch):
+    """Shuffled one-token pieces, long ones over several shards, pieces without tokens, and a shard of its own."""
+    rng = random.Random(parts)
+    docs = [[rng.randrange(99) for _ in range(rng.choice([1, 1, 1, 2, 5, 23]))] for _ in range(60)] + [[7]]
+    packed = packing.pack_shards(token_docs(spark, docs), 11)
+    empty = packed.limit(2).withColumn("tokens", F.array().cast("array<int>")).withColumn("n_tokens", F.lit(0))
+    empty = empty.withColumn("shard_id", F.lit(1)).withColumn("split", F.lit("train")).withColumn("start", F.lit(4).cast("bigint"))
+    path = str(tmp_path / "pieces")
+    packed.unionByName(empty).withColumn("r", F.rand(3)).repartition(parts, "r").drop("r").write.parquet(path)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        rows = packing.next_tokens(spark.read.parquet(path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = {}
+    for r in sorted(rows, key=lambda r: (r.shard_id, r.start)):
+        assert len(r.labels) == len(r.tokens) == r.n_tokens
+        got.setdefault(r.shard_id, []).extend(r.labels)
+    assert got == labelled(docs, 11)
+    assert packing.next_tokens(packed.limit(0)).count() == 0
+
+
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_token_array_is_shuffled_for_labels(spark, tmp_path):
+    path = str(tmp_path / "shards")
+    shards.write_shards(packing.pack_shards(token_docs(spark, [list(range(9))] * 20), 25), path)
+    plan = executed(packing.next_tokens(shards.read_shards(spark, path)))
+    exchanges = [line for line in plan.split("\n") if "Exchange" in line]
+    assert exchanges and all("BroadcastExchange" in line for line in exchanges)
+
+
+def test_manifest_holds_the_lengths(spark, tmp_path):
+    path = str(tmp_path / "shards")
+    shards.write_shards(packing.pack_shards(token_docs(spark, [list(range(9))] * 20), 25), path)
+    pieces = shards.read_shards(spark, path)
+    counted = {(r.split, r.shard_id): r.n for r in pieces.groupBy("split", "shard_id").agg(F.sum(F.size("tokens")).alias("n")).collect()}
+    assert {(r.split, r.shard_id): r.n_tokens for r in shards.read_manifest(spark, path).collect()} == counted
+    assert {r.shard_id for r in shards.read_manifest(spark, path, "val").collect()} == {0}
+    assert "tokens:array" not in executed(packing.shard_lengths(pieces))
+
+
 @pytest.mark.parametrize("B,T,world", [(1, 5, 3), (2, 3, 1), (2, 2, 2)])
 def test_batches_equal_cursor(spark, B, T, world):
     rng = random.Random(B * 10 + world)
@@ -161,3 +212,30 @@ def test_schedule_cycles_through_shards(spark):
     got = {(r["step"], r["micro"]): (r["cycle"], r["shard_id"], r["batch_idx"]) for r in rows}
     order = [(1, 0), (1, 1), (2, 0)]
     assert got == {(n // 2, n % 2): (n // 3, *order[n % 3]) for n in range(8)}
+
+
+def test_schedule_joins_no_row_per_batch(spark, monkeypatch):
+    """Uneven shards; what is joined stays the same when every shard holds a thousand times as many batches."""
+    rng = random.Random(4)
+    sizes = [rng.choice([6, 11, 40, 400]) for _ in range(30)]
+    micro = spark.createDataFrame([(s, m) for s in range(300) for m in range(2)], "step long, micro long")
+
+    def run(factor):
+        lens = spark.createDataFrame([("train", i, (n - 1) * factor + 1) for i, n in enumerate(sizes)], "split string, shard_id int, n_tokens long")
+        df = batches.batch_schedule(micro, lens, 1, 5, 2)
+        order = [(i, k) for i, n in enumerate(sizes) for k in range(max(1, (n - 1) * factor // 5))]
+        got = {(r.step, r.micro): (r.cycle, r.shard_id, r.batch_idx) for r in df.collect()}
+        assert got == {(n // 2, n % 2): (n // len(order), *order[n % len(order)]) for n in range(600)}
+
+    joined = []
+    real = batches.join_bounded
+
+    def counted(left, small, on):
+        joined.append((left.count(), small.count()))
+        return real(left, small, on)
+
+    monkeypatch.setattr(batches, "join_bounded", counted)
+    run(1)
+    run(1000)
+    assert all(rows == 600 and stretches <= 3 * len(sizes) for rows, stretches in joined)
+    assert batches.batch_schedule(micro, spark.createDataFrame([], "split string, shard_id int, n_tokens long"), 1, 5, 2).count() == 0

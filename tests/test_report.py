@@ -172,3 +172,23 @@ def test_train_save_load_report(spark, tmp_path):
     tokens = {r["tokenizer"]: r["tokens"] for r in rows}
     whole = "\n\n".join(TEXTS)
     assert tokens == {t.name: len(model.encode(whole, t.merges)) for t in made}
+
+
+def test_distinct_sketches_merge(spark, tmp_path):
+    """Stored batches merge to the sketch of all, whatever the batches are."""
+    rows = spark.range(60_000).select(
+        (F.col("id") % 2).cast("string").alias("sample"), F.lit("t").alias("tokenizer"), (F.col("id") % 7).alias("batch"),
+        F.array((F.col("id") * 37 % 20_011).cast("int"), F.lit(5), (F.col("id") % 900).cast("int")).alias("tokens"),
+    )
+    path = str(tmp_path / "sketches")
+    for batch in range(7):
+        report.add_sketches(rows.where(F.col("batch") == batch), path)
+    stored = spark.read.schema("sample string, tokenizer string, sketch binary").parquet(path)
+    assert stored.count() == 14
+    merged = {r["sample"]: r["unique_estimate"] for r in report.estimated_distinct(stored).collect()}
+    whole = report.distinct_sketches(rows, ["sample", "tokenizer"])
+    assert merged == {r["sample"]: r["unique_estimate"] for r in report.estimated_distinct(whole).collect()}
+    again = {r["sample"]: r["unique_estimate"] for r in report.estimated_distinct(stored.unionByName(whole)).collect()}
+    assert again == merged  # seeing tokens twice changes nothing
+    exact = {r["sample"]: r["n"] for r in rows.select("sample", F.explode("tokens").alias("id")).groupBy("sample").agg(F.count_distinct("id").alias("n")).collect()}
+    assert all(abs(merged[s] - exact[s]) <= report.SKETCH_ERROR * exact[s] for s in exact)
