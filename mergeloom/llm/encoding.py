@@ -18,12 +18,11 @@ from functools import cached_property
 
 import numpy as np
 
-#: Bytes of words and ids kept by a Python worker; the store starts anew when it is full.
-KEPT_BYTES = 48 << 20
-#: Longer words (texts without spaces, among others) are encoded each time.
+#: Words kept by a Python worker; the store starts anew when it is full.
+KEPT_WORDS = 200_000
+#: Longer words (texts without spaces, among others) are encoded each time, so what is kept
+#: is bounded in bytes too: some 45 MB of usual words, 250 MB if all were of 64 three-byte characters.
 KEPT_CHARS = 64
-#: About what an entry takes besides its characters and ids.
-_ENTRY_BYTES = 200
 _ORDINARY = re.compile(r"[\t\n\x20-\x7e¡-¬®-ſ]*").fullmatch
 _encoders: dict[str, "Encoder"] = {}
 
@@ -39,18 +38,14 @@ class _Words(dict):
 
     def __init__(self, encode) -> None:
         self.encode = encode
-        self.held = 0
 
     def __missing__(self, word: str) -> bytes | None:
         alone = word[:1] != " " or (len(word) > 1 and not word[1].isspace())
         ids = array("i", self.encode(word)).tobytes() if alone else None
         if len(word) <= KEPT_CHARS:
-            size = _ENTRY_BYTES + 4 * len(word) + len(ids or b"")
-            if self.held + size > KEPT_BYTES:
+            if len(self) >= KEPT_WORDS:
                 self.clear()
-                self.held = 0
             self[word] = ids
-            self.held += size
         return ids
 
 

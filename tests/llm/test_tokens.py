@@ -28,15 +28,14 @@ def test_ids_equal_those_of_tokenizers(spark, sf):
         assert encoder.encode(t).tolist() == reference(t), t[:50]
 
 
-def test_word_store_is_bounded_in_bytes(monkeypatch):
+def test_word_store_is_bounded(monkeypatch):
     from mergeloom.llm import encoding
 
-    monkeypatch.setattr(encoding, "KEPT_BYTES", 50_000)
+    monkeypatch.setattr(encoding, "KEPT_WORDS", 100)
     words = encoding._Words(lambda w: [ord(c) for c in w])
     for i in range(5000):
-        words[f" w{i}"]
-    words["long" * 1000]
-    assert words.held <= 50_000 and 0 < len(words) < 250 and "long" * 1000 not in words
+        assert words[f" w{i}"] == np.array([ord(c) for c in f" w{i}"], np.int32).tobytes()
+    assert len(words["long" * 1000]) == 16_000 and 0 < len(words) <= 100 and "long" * 1000 not in words
 
 
 def test_packing(spark):
