@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.joins import join_bounded
@@ -47,3 +50,13 @@ def thinned(docs: DataFrame, key: Column, dropped: DataFrame, repeated: DataFram
         return left.drop(own)
     once = met(left, repeated, "left_semi").dropDuplicates([own])
     return met(left, repeated, "left_anti").unionByName(once).drop(own)
+
+
+def give_back() -> None:
+    """Return freed memory to the system. Python workers outlive their tasks, and what one stage
+    has freed would be missing to the next one's JVM."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .blocks import mix, plain, slices
-from .common import fold, text_of
+from .common import fold, give_back, text_of
 
 BUCKETS = 1 << 14
 ORDERS = (1, 2, 3)
@@ -161,6 +161,7 @@ def predictor(docs: DataFrame, model: Model) -> Callable[[Column], Column]:
             yield pa.StructArray.from_arrays(
                 [pa.array(langs, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())], ["lang_pred", "score"]
             )
+        give_back()
 
     return F.arrow_udf(predict, "struct<lang_pred:string,score:double>").asNondeterministic()  # evaluated once, not again in a filter
 

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .blocks import NOT_SPACE, Words, grams, mix, plain, slices, words
 from ..operators.joins import join_back
-from .common import cut_lineage, join_bounded, text_of, thinned
+from .common import cut_lineage, give_back, join_bounded, text_of, thinned
 from .components import components
 
 SHINGLE = 5
@@ -98,6 +98,7 @@ def _sketched(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             [pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()), pa.ListArray.from_arrays(offsets, keys)],
             ["n", "cls", "bands"],
         )
+    give_back()
 
 
 def _sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -108,6 +109,7 @@ def _sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             sets += [shingles(w, row).view(np.int64) for row in range(len(part))]
         offsets = pa.array(np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32))
         yield pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64)))
+    give_back()
 
 
 def _sets_of(ids: DataFrame, docs: DataFrame) -> DataFrame:

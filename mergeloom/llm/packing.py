@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import text_of
+from .common import give_back, text_of
 from .encoding import Encoder, tokenizer_path
 
 SEQUENCE = 2048
@@ -127,6 +127,8 @@ def pack(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
                     ids, documents, size = [], [], 0
         if documents:
             yield _pieces(ids, documents, encoder, number)[0]
+        ids, documents = [], []
+        give_back()
 
     rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), text_of(docs).alias("text"))
     return rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id").mapInArrow(packed, SCHEMA)
