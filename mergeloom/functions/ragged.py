@@ -5,10 +5,14 @@ Used inside tasks only: Spark decides which rows a batch holds.
 
 from __future__ import annotations
 
+from heapq import heappop, heappush
+
 import numpy as np
 import pyarrow as pa
 
 _NONE = np.iinfo(np.int64).max
+# Rows of more tokens are merged as linked lists, by rank.
+LONG_ROW = 512
 
 
 class MergeRanks:
@@ -18,6 +22,7 @@ class MergeRanks:
         pairs = np.array(merges, dtype=np.int64).reshape(-1, 2)
         keys = (pairs[:, 0] << 32) | pairs[:, 1]
         order = np.argsort(keys, kind="stable")
+        self.pairs = pairs
         self.keys = keys[order]
         self.ranks = order.astype(np.int64)
         self.first_id = first_id
@@ -31,9 +36,75 @@ class MergeRanks:
 
 
 def merge_rows(values: np.ndarray, lengths: np.ndarray, table: MergeRanks):
-    """Encode every row: (values, lengths) of byte tokens to merged tokens.
-
-    Each pass merges, in every unfinished row, all occurrences of that row's
+    """Encode every row: (values, lengths) of byte tokens to merged tokens."""
+    long = lengths > LONG_ROW
+    if not long.any():
+        return _merge_short(values, lengths, table)
+    kinds = []
+    for rows, merge in ((np.flatnonzero(~long), _merge_short), (np.flatnonzero(long), _merge_long)):
+        kinds.append((rows, *merge(*take_rows(values, lengths, rows), table)))
+    rows, out, sizes = (np.concatenate(x) for x in zip(*kinds))
+    back = np.argsort(rows, kind="stable")
+    return take_rows(out, sizes, back)
+
+
+def _merge_long(values: np.ndarray, lengths: np.ndarray, table: MergeRanks):
+    """`merge_rows` in n log n steps: tokens are a doubly linked list, and places wait in a heap by the rank of
+    their pair. A merge only makes pairs of higher rank, so each rank comes up once, with all its places."""
+    n, values = len(values), values.astype(np.int32)
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+    ends = np.cumsum(lengths)
+    after[ends[lengths > 0] - 1] = -1
+    before[(ends - lengths)[lengths > 0]] = -1
+    alive = np.ones(n, bool)
+    waiting: dict[int, list[np.ndarray]] = {}
+    heap: list[int] = []
+
+    def enter(places: np.ndarray) -> None:
+        ranks = table.lookup(values[places], values[after[places]])
+        known = np.flatnonzero(ranks != _NONE)
+        order = known[np.argsort(ranks[known], kind="stable")]
+        if not len(order):
+            return
+        sorted_ranks = ranks[order]
+        cuts = np.flatnonzero(sorted_ranks[1:] != sorted_ranks[:-1]) + 1
+        for rank, part in zip(sorted_ranks[np.r_[0, cuts]].tolist(), np.split(places[order], cuts)):
+            if rank not in waiting:
+                waiting[rank] = []
+                heappush(heap, rank)
+            waiting[rank].append(part)
+
+    enter(np.flatnonzero(after >= 0))
+    while heap:
+        rank = heappop(heap)
+        parts = waiting.pop(rank)
+        places = parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts))
+        left, right = table.pairs[rank]
+        # Places may have been merged away, or have another neighbour by now.
+        places = places[alive[places] & (values[places] == left) & (after[places] >= 0)]
+        places = places[values[after[places]] == right]
+        if left == right and len(places):
+            # Of overlapping places, every second one counted from the left.
+            begins = np.flatnonzero(np.r_[True, after[places[:-1]] != places[1:]])
+            nth = np.arange(len(places)) - np.repeat(begins, np.diff(np.r_[begins, len(places)]))
+            places = places[nth % 2 == 0]
+        if not len(places):
+            continue
+        gone = after[places]
+        values[places] = table.first_id + rank
+        alive[gone] = False
+        beyond = after[gone]
+        after[places] = beyond
+        inside = beyond >= 0
+        before[beyond[inside]] = places[inside]
+        previous = before[places]
+        enter(np.unique(np.r_[previous[previous >= 0], places[inside]]))
+    return values[alive], np.bincount(row[alive], minlength=len(lengths)).astype(np.int64)
+
+
+def _merge_short(values: np.ndarray, lengths: np.ndarray, table: MergeRanks):
+    """Each pass merges, in every unfinished row, all occurrences of that row's
     lowest-ranked pair from left to right, and sets finished rows aside.
     """
     row = np.repeat(np.arange(len(lengths)), lengths)
@@ -235,3 +306,19 @@ def shifted_rows(values: np.ndarray, lengths: np.ndarray, follows: np.ndarray) -
     missing = np.zeros(len(values), bool)
     missing[ends[~follows] - 1] = True
     return pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(successors, mask=missing))
+
+
+def with_successor(batches):
+    """(batch, last): each batch but the last one ends with the row before the next one begins; that
+    row with the next batch, so that every row but the last has its successor beside it."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        if batch.num_rows > 1:
+            yield batch, False
+        held = batch.slice(batch.num_rows - 1)
+    if held is not None:
+        yield held, True

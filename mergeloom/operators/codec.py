@@ -52,7 +52,7 @@ def checked_text(text: Column, tokenizer: Tokenizer, allowed_special) -> Column:
     ).otherwise(text)
 
 
-def chunk_column(text: Column, tokenizer: Tokenizer, allowed_special="none") -> Column:
+def chunk_column(text: Column, tokenizer: Tokenizer, allowed_special="none_raise") -> Column:
     allowed = tokenizer.allowed(allowed_special)
     text = checked_text(text, tokenizer, allowed_special)
     if not allowed:
@@ -61,9 +61,13 @@ def chunk_column(text: Column, tokenizer: Tokenizer, allowed_special="none") ->
 
 
 def encode_documents(
-    docs: DataFrame, tokenizer: Tokenizer, allowed_special="none", text: str = "text"
+    docs: DataFrame, tokenizer: Tokenizer, allowed_special="none_raise", text: str = "text"
 ) -> DataFrame:
-    """Replace `text` by `tokens array<int>`; all other columns are kept."""
+    """Replace `text` by `tokens array<int>`; all other columns are kept.
+
+    By default a text that contains a registered special token fails the job;
+    "none" encodes it as ordinary text, "all" or a set as special ids.
+    """
     allowed = tokenizer.allowed(allowed_special)
     merges = tokenizer.merges
     chunked = docs.withColumn(text, chunk_column(F.col(text), tokenizer, allowed_special))
@@ -107,10 +111,11 @@ def encode_chunks(df: DataFrame, tokenizers: list[Tokenizer], chunk: str = "chun
 def encode_by_dictionary(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     """(doc_id, tokens) by joining chunk occurrences with encoded chunks.
 
-    Hot chunks, at most 2,000 by their share of all occurrences, are broadcast;
-    the rest join by shuffle with no key above that share.
+    The text is split once, into stored occurrences. Hot chunks, at most 2,000 by their share of
+    all occurrences (and no chunk that occurs once), are broadcast; the rest join by shuffle with no key above that share.
+    Special tokens are ordinary text.
     """
-    rows = exploded_chunks(docs.select("doc_id", "text"), tokenizer.pattern)
+    rows = cut_lineage(exploded_chunks(docs.select("doc_id", "text"), tokenizer.pattern), "chunk-occurrences")
     counted = rows.groupBy("chunk").agg(F.count(F.lit(1)).alias("cnt"))
     coded = cut_lineage(encode_chunks(counted, [tokenizer]).select("chunk", "cnt", "tokens"), "chunk-codes")
     total = coded.agg(F.sum("cnt")).first()[0] or 0
@@ -133,7 +138,7 @@ def encode_by_dictionary(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     )
 
 
-def encode_column(tokenizer: Tokenizer, text: Column | str = "text", allowed_special="none") -> Column:
+def encode_column(tokenizer: Tokenizer, text: Column | str = "text", allowed_special="none_raise") -> Column:
     """`array<int>` of token ids as a built-in expression, no Python worker."""
     text = F.col(text) if isinstance(text, str) else text
     allowed = tokenizer.allowed(allowed_special)
@@ -177,7 +182,7 @@ def checked_tokens(tokens: Column) -> Column:
 
 def token_documents(docs: DataFrame, tokenizer: Tokenizer, eot: int) -> DataFrame:
     """(doc_id, tokens, n_tokens): end-of-text id, then the document's tokens."""
-    coded = encode_documents(docs.select("doc_id", "text"), tokenizer)
+    coded = encode_documents(docs.select("doc_id", "text"), tokenizer, "none")
     tokens = checked_tokens(F.concat(F.array(F.lit(eot)), F.col("tokens")))
     return coded.select("doc_id", tokens.alias("tokens")).withColumn("n_tokens", F.size("tokens"))
 

@@ -10,7 +10,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import ragged
-from ..functions.ragged import list_rows, next_in_chain, shifted_rows
+from ..functions.ragged import list_rows, next_in_chain, shifted_rows, with_successor
 from .joins import join_bounded
 from .prefix import running
 
@@ -72,22 +72,6 @@ def shard_lengths(pieces: DataFrame) -> DataFrame:
     return pieces.groupBy("split", "shard_id").agg(F.sum(piece_length(pieces)).alias("n_tokens"))
 
 
-def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, bool]]:
-    """(batch, last): each batch but the last one ends with the row before the next one begins; that
-    row with the next batch, so that every row but the last has its successor beside it."""
-    held = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        if held is not None:
-            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-        if batch.num_rows > 1:
-            yield batch, False
-        held = batch.slice(batch.num_rows - 1)
-    if held is not None:
-        yield held, True
-
-
 def next_tokens(pieces: DataFrame) -> DataFrame:
     """Add `labels`: each token's successor in its shard, NULL at the end. A
     piece without tokens has no labels, and the pieces around it are neighbours.
@@ -105,7 +89,7 @@ def next_tokens(pieces: DataFrame) -> DataFrame:
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened = True  # whether the first row of the batch begins a run
-        for batch, last in _in_order(batches):
+        for batch, last in with_successor(batches):
             shard, start, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("shard_id", "start", "n"))
             follows = next_in_chain(shard, start, n)
             heads = np.flatnonzero(np.r_[opened, ~follows])
@@ -119,7 +103,7 @@ def next_tokens(pieces: DataFrame) -> DataFrame:
     )
 
     def shift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, last in _in_order(batches):
+        for batch, last in with_successor(batches):
             values, lengths = list_rows(batch.column("tokens"))
             shard, start = (batch.column(c).to_numpy(zero_copy_only=False) for c in order)
             follows = np.r_[next_in_chain(shard, start, lengths), False]

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions.text import byte_length, word_count
+from ..functions.text import DOC_SEPARATOR, byte_length, word_count
 from ..session import cut_lineage
-from ..sources.corpus import with_separators
-from .codec import decode_column, encode_chunks, encode_documents
+from ..sources.corpus import joined_dictionary
+from .codec import checked_text, decode_column, encode_chunks
 from .dictionary import chunk_dictionary, corpus_position, nested_position
 from .tokenizer import FIRST_MERGE_ID, Tokenizer
 
@@ -21,7 +21,11 @@ def token_counts(dictionary: DataFrame, tokenizers: list[Tokenizer]) -> DataFram
     follows the number of distinct chunks, not of tokens. `first` is the first
     corpus position (doc, chunk, token) for tie-breaking.
     """
-    coded = encode_chunks(dictionary, tokenizers)
+    return coded_counts(encode_chunks(dictionary, tokenizers))
+
+
+def coded_counts(coded: DataFrame) -> DataFrame:
+    """`token_counts` from encoded chunks."""
     tokens = coded.select(
         *_KEYS, "cnt", "first_doc", "first_idx", F.posexplode("tokens").alias("pos", "id")
     )
@@ -50,10 +54,12 @@ def top_tokens(counts: DataFrame, n: int = 20) -> DataFrame:
     return ranked.filter(F.col("place") <= n).select(*_KEYS, "place", "id", "cnt")
 
 
-def sample_totals(samples: DataFrame) -> DataFrame:
-    """(sample, bytes, words) of separator-completed documents."""
+def sample_totals(samples: DataFrame, joined: bool = False) -> DataFrame:
+    """(sample, bytes, words); separators between documents count as bytes if they are `joined`,
+    and part no words that weren't apart."""
+    between = (F.count("text") - 1) * len(DOC_SEPARATOR) if joined else F.lit(0)
     return samples.groupBy("sample").agg(
-        F.sum(byte_length("text")).alias("bytes"), F.sum(word_count("text")).alias("words")
+        (F.sum(byte_length("text")) + between).alias("bytes"), F.sum(word_count("text")).alias("words")
     )
 
 
@@ -193,26 +199,30 @@ def compare_tokenizers(
     by_pattern: dict[str, list[Tokenizer]] = {}
     for t in tokenizers:
         by_pattern.setdefault(t.pattern, []).append(t)
+        samples = samples.withColumn("text", checked_text(F.col("text"), t, "none_raise"))
     counts = checks = totals = None
     for pattern, group in by_pattern.items():
-        texts = with_separators(samples, "sample", pattern) if joined else samples
-        part = token_counts(chunk_dictionary(texts, pattern, ["sample"]), group)
-        counts = part if counts is None else counts.unionByName(part)
-        totals = sample_totals(texts) if totals is None else totals
-        for t in group if check_roundtrip else ():
-            part = _sample_roundtrip(texts, t)
+        chunked = joined_dictionary(samples, pattern, "sample") if joined else chunk_dictionary(samples, pattern, ["sample"])
+        coded = encode_chunks(chunked, group)
+        if check_roundtrip:
+            coded = cut_lineage(coded, "coded-chunks")
+            part = chunk_roundtrip(coded, group)
             checks = part if checks is None else checks.unionByName(part)
+        part = coded_counts(coded)
+        counts = part if counts is None else counts.unionByName(part)
+        totals = sample_totals(samples, joined) if totals is None else totals
     # Vocabulary-sized and read three times below: the text is tokenized once.
     counts = cut_lineage(counts, "token-counts")
     return report_from_counts(counts, totals, tokenizer_sizes(tokenizers), top_n, checks)
 
 
-def _sample_roundtrip(texts: DataFrame, tokenizer: Tokenizer) -> DataFrame:
-    coded = encode_documents(texts.select("sample", F.col("text").alias("original"), "text"), tokenizer)
-    same = decode_column(tokenizer) == F.col("original")
-    return coded.groupBy("sample").agg(F.bool_and(same).alias("roundtrip")).withColumn(
-        "tokenizer", F.lit(tokenizer.name)
-    )
+def chunk_roundtrip(coded: DataFrame, tokenizers: list[Tokenizer]) -> DataFrame:
+    """(sample, tokenizer, roundtrip): whether decoding gives back every chunk, and so every
+    text, from encoded chunks (sample, tokenizer, chunk, tokens)."""
+    same = F.lit(None).cast("boolean")
+    for t in tokenizers:
+        same = F.when(F.col("tokenizer") == t.name, decode_column(t) == F.col("chunk")).otherwise(same)
+    return coded.groupBy(*_KEYS).agg(F.bool_and(same).alias("roundtrip"))
 
 
 def compare_encoders(
@@ -221,17 +231,18 @@ def compare_encoders(
     """Report for any named `Column -> Column` encoders over separate texts.
 
     `roundtrip` tells whether the named decoder, a `Column -> Column` too, gives every text
-    back; it is NULL for encoders without one.
+    back; it is NULL for encoders without one. Texts are encoded once: tokens are stored, and counts and
+    round trips read from there.
     """
     coded = checks = None
-    for name, decoder in (decoders or {}).items():
-        same = F.coalesce(decoder(encoders[name](F.col("text"))) == F.col("text"), F.col("text").isNull())
-        check = samples.groupBy("sample").agg(F.bool_and(same).alias("roundtrip")).withColumn("tokenizer", F.lit(name))
-        checks = check if checks is None else checks.unionByName(check)
     for name, encoder in encoders.items():
-        part = samples.select(
-            "sample", F.lit(name).alias("tokenizer"), "doc_id", encoder(F.col("text")).alias("tokens")
-        )
+        part = samples.select("sample", F.lit(name).alias("tokenizer"), "doc_id", "text", encoder(F.col("text")).alias("tokens"))
+        if name in (decoders or {}):
+            part = cut_lineage(part, "encoded-texts")
+            same = F.coalesce(decoders[name](F.col("tokens")) == F.col("text"), F.col("text").isNull())
+            check = part.groupBy(*_KEYS).agg(F.bool_and(same).alias("roundtrip"))
+            checks = check if checks is None else checks.unionByName(check)
+        part = part.drop("text")
         coded = part if coded is None else coded.unionByName(part)
     sizes = {name: sizes.get(name) for name in encoders}
     return report_from_counts(document_token_counts(coded), sample_totals(samples), sizes, top_n, checks)

@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions import codes, text as tx
 from ..operators import batches, codec, dictionary, evals, packing, report, runlogs
 from ..operators.bpe_train import Training, best_pairs, pair_counts, train, training_state
-from ..operators.prefix import dense_index
+from ..operators.joins import join_back
+from ..operators.prefix import dense_index, range_bounds, range_index
 from ..operators.quota import quota_split
 from ..operators.tokenizer import Tokenizer, merges_table, specials_table, vocab_table
 from ..session import cut_lineage, new_path
@@ -55,7 +56,7 @@ def joined_docs(spark, sf) -> DataFrame:
 def training(spark, sf) -> Training:
     return _once(
         spark, sf, "training",
-        lambda: train(dictionary.chunk_dictionary(joined_docs(spark, sf)), 256 + MERGES, BIG),
+        lambda: train(corpus.joined_dictionary(docs(spark, sf)), 256 + MERGES, BIG),
     )
 
 
@@ -93,10 +94,7 @@ def by_language(spark, sf) -> DataFrame:
 
 
 def token_counts(spark, sf) -> DataFrame:
-    texts = corpus.with_separators(by_language(spark, sf), "sample")
-    return report.token_counts(
-        dictionary.chunk_dictionary(texts, group=["sample"]), tokenizers(spark, sf)
-    )
+    return report.token_counts(corpus.joined_dictionary(by_language(spark, sf), group="sample"), tokenizers(spark, sf))
 
 
 def train_log(spark, sf) -> DataFrame:
@@ -521,7 +519,7 @@ def a3_best_pair(spark, sf):
 
 
 def a4_chunk_dictionary(spark, sf):
-    return dictionary.chunk_dictionary(joined_docs(spark, sf))
+    return corpus.joined_dictionary(docs(spark, sf))
 
 
 def a5_bpe_train(spark, sf):
@@ -644,8 +642,9 @@ def a20_corpus_totals(spark, sf):
 
 
 def a21_joined_text(spark, sf):
-    rows = corpus.joined_text(quota_split(docs(spark, sf)), "split")
-    return rows.select("split", F.md5(F.col("text").cast("binary")).alias("digest"))
+    path = new_path(spark, "joined")
+    corpus.export_joined(quota_split(docs(spark, sf)), "split", path, 1 << 16)
+    return corpus.exported_digests(spark, path).select(F.col("label").alias("split"), "digest")
 
 
 def a22_training_trace(spark, sf):
@@ -656,7 +655,7 @@ def a22_training_trace(spark, sf):
 def a23_position_loss(spark, sf):
     rows = derived.scores(spark, sf)
     target = rows.groupBy("row_id").agg(F.min("cand").alias("target"))
-    losses = evals.position_loss(rows.join(target, "row_id"), ["row_id"])
+    losses = evals.position_loss(join_back(rows, target, "row_id"), ["row_id"])
     return losses.select("row_id", F.round("loss", 6).alias("loss"))
 
 
@@ -861,10 +860,31 @@ def st1_encode_stream(spark, sf):
     return _coded(streams.run_to_table(stream, *_stream_paths(spark, "encoded")), "doc_id")
 
 
+def _document_files(spark, sf, n=3) -> str:
+    """The documents as n files in doc_id order, each later than the one before."""
+    def make():
+        path, rows = new_path(spark, "arriving"), corpus.table(spark, sf, "documents")
+        part = range_index("doc_id", range_bounds(rows.select("doc_id"), "doc_id", n))
+        for i in range(n):
+            rows.where(part == i).coalesce(1).write.mode("append").parquet(path)
+        return path
+
+    return _once(spark, sf, "document-files", make)
+
+
 def st2_token_count_stream(spark, sf):
-    coded = streams.encode_stream(streams.document_stream(spark, sf), tokenizer(spark, sf))
-    counts = streams.token_count_stream(coded)
-    return streams.run_to_table(counts, *_stream_paths(spark, "counts"), mode="complete")
+    arriving = streams.document_stream(spark, _document_files(spark, sf), "part-", 1)
+    counts = streams.token_count_stream(streams.encode_stream(arriving, tokenizer(spark, sf)))
+    path, checkpoint = _stream_paths(spark, "counts")
+    return streams.CountTable(path, ["id"], "id int, cnt bigint", 2).run(counts, checkpoint)
+
+
+def st2_pair_count_stream(spark, sf):
+    arriving = streams.document_stream(spark, _document_files(spark, sf), "part-", 1)
+    counts = streams.pair_count_stream(streams.chunk_stream(arriving))
+    path, checkpoint = _stream_paths(spark, "pair-counts")
+    table = streams.CountTable(path, ["left", "right"], "left int, right int, cnt bigint")
+    return table.run(counts, checkpoint)
 
 
 def st3_run_metrics_stream(spark, sf):
@@ -874,7 +894,8 @@ def st3_run_metrics_stream(spark, sf):
 
 
 def st4_shard_fill_stream(spark, sf):
-    coded = codec.token_documents(streams.document_stream(spark, sf), tokenizer(spark, sf), EOT)
+    arriving = streams.document_stream(spark, _document_files(spark, sf), "part-", 1)
+    coded = codec.token_documents(arriving, tokenizer(spark, sf), EOT)
     path, checkpoint = _stream_paths(spark, "fill")
     pieces = streams.ShardFill(path, SHARD).run(coded, checkpoint)
     return pieces.select("split", "shard_id", "start", "doc_id", digest("tokens").alias("digest"))

@@ -8,13 +8,12 @@ from ..functions.text import GPT4_PATTERN
 from ..operators.batches import batch_rows
 from ..operators.bpe_train import train_sizes
 from ..operators.codec import token_documents
-from ..operators.dictionary import chunk_dictionary
 from ..operators.packing import pack_shards, shard_lengths
 from ..operators.quota import quota_split
 from ..operators.report import compare_tokenizers
 from ..operators.tokenizer import Tokenizer
 from ..session import cut_lineage, new_path
-from ..sources.corpus import with_separators
+from ..sources.corpus import joined_dictionary
 from ..sources.models import load_models, save_model, save_vocab
 from ..sources.shards import read_shards, write_shards
 
@@ -29,15 +28,14 @@ def train_and_report(
     test_docs = parts.filter(F.col("split") == "test").select(
         F.lit("test").alias("sample"), "doc_id", "text"
     )
-    tokenizers = train_sizes(chunk_dictionary(with_separators(train_docs)), vocab_sizes)
+    tokenizers = train_sizes(joined_dictionary(train_docs), vocab_sizes)
     return compare_tokenizers(test_docs, tokenizers)
 
 
 def train_and_save(docs: DataFrame, vocab_sizes: list[int], directory: str, pattern: str | None = None) -> list[Tokenizer]:
     """Train several sizes on a corpus and write their model and vocabulary
     files as `regex_vocab_<size>`."""
-    texts = with_separators(docs, pattern=pattern or GPT4_PATTERN)
-    made = train_sizes(chunk_dictionary(texts, pattern or GPT4_PATTERN), vocab_sizes, pattern)
+    made = train_sizes(joined_dictionary(docs, pattern or GPT4_PATTERN), vocab_sizes, pattern)
     for tokenizer in made:
         save_model(docs.sparkSession, tokenizer, directory)
         save_vocab(docs.sparkSession, tokenizer, directory)

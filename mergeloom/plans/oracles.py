@@ -598,6 +598,9 @@ def sql() -> dict[str, str]:
     q["st2_token_count_stream"] = _with(_TRAIN, _DOCS) + (
         "SELECT ord(ch) - 256 AS id, count(*) AS cnt FROM (SELECT unnest(string_split(code, '')) AS ch FROM enc) GROUP BY ch"
     )
+    q["st2_pair_count_stream"] = _with(_dictionary("dict", "documents"), _byte_pairs("bp", "dict")) + (
+        "SELECT \"left\", \"right\", cnt FROM bp"
+    )
     q["st3_run_metrics_stream"] = _with(*_LOGS) + """SELECT l.run_name, round(bv, 4) AS best_val_loss, bs::INT AS best_val_step, last_step::INT AS last_step
         FROM lasts l JOIN (SELECT run_name, min(val_loss) AS bv, arg_min(step, {'l': val_loss, 's': step}) AS bs FROM val GROUP BY run_name)
         USING (run_name)"""

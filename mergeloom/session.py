@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,8 +45,27 @@ def ensure_work_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="mergeloom-"))
 
 
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch.get() or work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Tables written inside go to one folder of the work folder, which is deleted at the end.
+
+    For work whose results are written elsewhere before the end, such as a micro-batch.
+    """
+    folder = new_path(spark, "scratch")
+    token = _scratch.set(folder)
+    try:
+        yield folder
+    finally:
+        _scratch.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame, name: str) -> DataFrame:

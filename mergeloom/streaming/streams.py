@@ -4,23 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.codes import byte_codes, code_ids
+from ..functions.text import GPT4_PATTERN
 from ..operators.codec import encode_documents
+from ..operators.dictionary import exploded_chunks
 from ..operators.packing import shard_spans, split_label
 from ..operators.prefix import running
 from ..operators.tokenizer import Tokenizer
+from ..session import cut_lineage, scratch
 from ..sources.runlogs import parse_text_log, run_from_path
 
 DOCUMENT_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
-def document_stream(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+def document_stream(
+    spark: SparkSession, sf_dir: str, name: str = "documents", files_per_batch: int | None = None
+) -> DataFrame:
     stream = spark.readStream.schema(DOCUMENT_SCHEMA).option("pathGlobFilter", f"{name}*.parquet")
+    if files_per_batch:
+        stream = stream.option("maxFilesPerTrigger", files_per_batch)
     return stream.parquet(sf_dir).select("doc_id", "text")
 
 
-def encode_stream(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
+def encode_stream(docs: DataFrame, tokenizer: Tokenizer, allowed_special="none_raise") -> DataFrame:
     """Stateless: (doc_id, tokens), the same narrow operator as in batch."""
-    return encode_documents(docs.select("doc_id", "text"), tokenizer)
+    return encode_documents(docs.select("doc_id", "text"), tokenizer, allowed_special)
+
+
+def chunk_stream(docs: DataFrame, pattern: str = GPT4_PATTERN) -> DataFrame:
+    """(tokens): the byte ids of every chunk, what pair counts are taken over."""
+    return exploded_chunks(docs, pattern).select(code_ids(byte_codes("chunk")).alias("tokens"))
 
 
 def token_count_stream(encoded: DataFrame) -> DataFrame:
@@ -84,6 +97,69 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "app
     return spark.read.schema(stream.schema).parquet(path)
 
 
+class CountTable:
+    """A table of running counts by key, kept up by the changed rows of each micro-batch.
+
+    The stream runs in update mode: a batch brings the new totals of the keys it met, and
+    nothing else is written. They go to a folder named by the batch id; a replayed batch
+    replaces its folder by the same totals. A key's count is the one of its latest batch. Every `merge_every` batches,
+    the folder holds all keys, and older folders are read no more.
+    """
+
+    def __init__(self, path: str, keys: list[str], schema: str, merge_every: int = 32):
+        self.rows, self.merged = f"{path}/rows", f"{path}/merged"
+        self.keys, self.schema, self.merge_every = keys, f"{schema}, batch_id bigint", merge_every
+
+    def _since(self, spark: SparkSession, before: int | None = None) -> int:
+        """The latest batch (before one) whose folder holds all keys; 0 if there is none."""
+        if not _exists(spark, self.merged):
+            return 0
+        done = spark.read.schema("keys bigint, batch_id bigint").parquet(self.merged)
+        done = done if before is None else done.where(F.col("batch_id") < before)
+        return done.agg(F.coalesce(F.max("batch_id"), F.lit(0))).first()[0]
+
+    def _latest(self, rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*self.keys).agg(F.max_by("cnt", "batch_id").alias("cnt"))
+
+    def current(self, spark: SparkSession) -> DataFrame:
+        """(keys..., cnt) as of the last batch."""
+        rows = spark.read.schema(self.schema).parquet(self.rows)
+        return self._latest(rows.where(F.col("batch_id") >= self._since(spark)))
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark, folder = batch.sparkSession, f"{self.rows}/batch_id={batch_id}"
+        if (batch_id + 1) % self.merge_every:
+            batch.write.mode("overwrite").parquet(folder)
+            return
+        older = spark.read.schema(self.schema).parquet(self.rows) if _exists(spark, self.rows) else None
+        rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        if older is not None:
+            since = self._since(spark, batch_id)
+            rows = rows.unionByName(older.where(F.col("batch_id").between(since, batch_id - 1)))
+        with scratch(spark):
+            # Written first: the folder may be one that a lost attempt left, and is among those read.
+            whole = cut_lineage(self._latest(rows), "merged-counts")
+            whole.write.mode("overwrite").parquet(folder)
+            whole.agg(F.count(F.lit(1)).alias("keys")).write.mode("overwrite").parquet(f"{self.merged}/batch_id={batch_id}")
+
+    def run(self, counts: DataFrame, checkpoint: str) -> DataFrame:
+        """Process everything available; returns the table's current rows."""
+        query = (
+            counts.writeStream.outputMode("update")
+            .foreachBatch(self)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+        return self.current(counts.sparkSession)
+
+
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 class ShardFill:
     """foreachBatch sink that packs arriving token documents into shards.
 
@@ -100,10 +176,13 @@ class ShardFill:
     def _start(self, spark: SparkSession, batch_id: int) -> int:
         if batch_id == 0:
             return 0
-        done = spark.read.schema("next bigint, batch_id bigint").parquet(self.offsets)
-        return done.filter(F.col("batch_id") == batch_id - 1).first()["next"]
+        return spark.read.schema("next bigint").parquet(f"{self.offsets}/batch_id={batch_id - 1}").first()["next"]
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        with scratch(batch.sparkSession):
+            self._fill(batch, batch_id)
+
+    def _fill(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         start = self._start(spark, batch_id)
         docs = batch.withColumn("n_tokens", F.size("tokens")).persist()

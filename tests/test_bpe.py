@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -175,6 +176,44 @@ def test_merge_rows_on_random_rows():
             assert row == result
 
 
+def test_long_rows_equal_short_ones(monkeypatch):
+    """Linked lists and passes give the same tokens, overlaps and empty rows included."""
+    rng = random.Random(12)
+    for _ in range(300):
+        merges, ids = [], list(range(3))
+        while len(merges) < 10:
+            pair = (rng.choice(ids), rng.choice(ids))
+            if pair not in merges:
+                ids.append(256 + len(merges))
+                merges.append(pair)
+        rows = [[rng.randrange(3) for _ in range(rng.choice([0, 1, 2, 9, 40]))] for _ in range(5)]
+        flat = np.array([t for r in rows for t in r], dtype=np.int32)
+        lens = np.array([len(r) for r in rows], dtype=np.int64)
+        monkeypatch.setattr(ragged, "LONG_ROW", 1 << 40)
+        want = merge_rows(flat, lens, MergeRanks(merges))
+        monkeypatch.setattr(ragged, "LONG_ROW", rng.choice([0, 2, 9]))
+        got = merge_rows(flat, lens, MergeRanks(merges))
+        assert got[0].tolist() == want[0].tolist() and got[1].tolist() == want[1].tolist()
+
+
+def test_an_unbroken_chunk_of_10_megabytes():
+    """512 merges on one chunk without a break, in seconds and without a pair left to merge."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(97, 123, 4000).astype(np.uint8).tobytes().decode()
+    merges, _ = model.train(base, 512)
+    text = "".join(base[int(a) : int(a) + 2000] for a in rng.integers(0, 2000, 5000))
+    flat = np.frombuffer(text.encode(), np.uint8)
+    begin = time.perf_counter()
+    values, lens = merge_rows(flat, np.array([len(flat)]), MergeRanks(merges))
+    assert time.perf_counter() - begin < 60
+    known = MergeRanks(merges).lookup(values[:-1], values[1:])
+    assert (known == ragged._NONE).all() and lens.tolist() == [len(values)]
+    vocab = Tokenizer("t", tuple(merges)).vocab
+    assert b"".join(vocab[int(i)] for i in values) == text.encode()
+    head = model.encode(text[:3000], merges)
+    assert values[: len(head) - 10].tolist() == head[:-10]
+
+
 def test_pair_totals_counts_overlaps():
     values, lens = np.array([7, 7, 7, 1, 7, 7], np.int32), np.array([3, 1, 2])
     # The longest ranks that a bigint holds: places are pairs, not one number.
@@ -241,6 +280,11 @@ def test_special_modes(spark, trained):
     assert {r["doc_id"]: r["t"] for r in column.collect()} == run("all")
     with pytest.raises(Exception, match="special token in text"):
         run("none_raise")
+    with pytest.raises(Exception, match="special token in text"):
+        codec.encode_documents(df, tok).collect()  # so by default
+    with pytest.raises(Exception, match="special token in text"):
+        df.select(codec.encode_column(tok)).collect()
+    assert {r["doc_id"]: r["tokens"] for r in codec.token_documents(df, tok, 7).collect()}[2] == [7, *plain("<|a|>")]
     assert codec.encode_documents(df.filter("doc_id = 1"), tok, "none_raise").count() == 1
     with pytest.raises(ValueError):
         run("some")

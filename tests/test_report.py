@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 from collections import Counter
@@ -88,6 +89,27 @@ def test_outside_encoders(spark, tok):
     assert got["bytes"]["tokens"] == len(TEXTS[0]) and got["bytes"]["vocab_coverage"] is None
 
 
+def test_specials_in_samples_fail_the_report(spark, tok):
+    samples = spark.createDataFrame([("x", 1, "some <|s|> text")], "sample string, doc_id long, text string")
+    with pytest.raises(Exception, match="special token in text"):
+        report.compare_tokenizers(samples, [tok.with_specials({"<|s|>": 900})]).collect()
+    assert report.compare_tokenizers(samples, [tok], check_roundtrip=True).first()["roundtrip"] is True
+
+
+def test_outside_encoders_run_once(spark):
+    """Counts and round trip come from one encoding of each text."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def encode(text):
+        calls.add(1)
+        return list(text.encode())
+
+    samples = spark.createDataFrame([("x", i, f"text {i}") for i in range(20)], "sample string, doc_id long, text string")
+    encoders = {"raw": codec.external_encoder(encode)}
+    rows = report.compare_encoders(samples, encoders, {}, decoders={"raw": codec.external_decoder(lambda ids: bytes(ids).decode())})
+    assert rows.first()["roundtrip"] is True and calls.value == 20
+
+
 def test_samples(spark, tmp_path):
     items = spark.createDataFrame([(7, "b"), (3, "a")], "item_id long, text string")
     got = {r["sample"]: r["text"] for r in corpus.numbered_samples(items, "item_id").collect()}
@@ -114,15 +136,73 @@ def test_pieces_give_the_chunks_of_the_joined_text(spark, pattern):
         assert got == model.pretokenize("\n\n".join(texts), pattern), texts
 
 
-def test_pieces_and_joined_text_by_group(spark):
+def dictionary_model(texts, pattern):
+    """Chunks of the joined text with counts."""
+    return Counter(model.pretokenize("\n\n".join(texts), pattern))
+
+
+@pytest.mark.parametrize("pattern", [model.GPT4, model.GPT2])
+def test_joined_dictionary_in_one_scan(spark, pattern):
+    """Equal to the dictionary of the pieces, first positions included, and to the joined text's chunks."""
+    cases = [["a  ", "b\n", "!", "", "  c", "d"], ["", "", ""], [" \n", "\n x"], ["only"], ["x", " "], ["  lead", "y!"], ["a.\n \t", "\r\n"]]
+    for texts in cases + [spaced_docs(s) for s in range(4)]:
+        df = spark.createDataFrame([(3 * i - 50, t) for i, t in enumerate(texts)], "doc_id long, text string")
+        got = {r["chunk"]: (r["cnt"], r["first_doc"], r["first_idx"]) for r in corpus.joined_dictionary(df, pattern).collect()}
+        pieces = dictionary.chunk_dictionary(corpus.with_separators(df, pattern=pattern), pattern)
+        assert got == {r["chunk"]: (r["cnt"], r["first_doc"], r["first_idx"]) for r in pieces.collect()}, texts
+        assert {c: v[0] for c, v in got.items()} == dictionary_model(texts, pattern), texts
+    assert corpus.joined_dictionary(df.limit(0), pattern).count() == 0
+
+
+def test_one_scan_of_the_text(spark, tmp_path):
+    """Of all plans that Spark runs for the dictionary, one reads the text."""
+    path = str(tmp_path / "docs")
+    spark.createDataFrame([(i, t) for i, t in enumerate(spaced_docs(3))], "doc_id long, text string").write.parquet(path)
+    docs = spark.read.parquet(path)
+    counted = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            counted.add(batch.num_rows)
+            yield batch
+
+    corpus.joined_dictionary(docs.mapInArrow(seen, docs.schema)).collect()
+    assert counted.value == 2 * docs.count()  # for the ends of the corpus, where a scan reads ids only, and for the text
+    plan = docs.groupBy().agg(F.min("doc_id"), F.max("doc_id"))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<doc_id:bigint>" in plan
+
+
+def test_pieces_and_joined_text_by_group(spark, tmp_path):
     texts = spaced_docs(9)
     df = spark.createDataFrame([(i, "xyz"[i % 3], t) for i, t in enumerate(texts)], "doc_id long, g string, text string")
-    whole = {r["g"]: r["text"] for r in corpus.joined_text(df, "g").collect()}
+    whole = {g: "\n\n".join(texts[k::3]) for k, g in enumerate("xyz")}
     rows = dictionary.exploded_chunks(corpus.with_separators(df, "g"), keep=["g", "doc_id"]).collect()
-    for k, g in enumerate("xyz"):
-        assert whole[g] == "\n\n".join(texts[k::3])
+    counts = {(r["g"], r["chunk"]): r["cnt"] for r in corpus.joined_dictionary(df, group="g").collect()}
+    for g in "xyz":
         got = sorted((r["doc_id"], r["chunk_idx"], r["chunk"]) for r in rows if r["g"] == g)
         assert [c for _, _, c in got] == model.pretokenize(whole[g])
+        assert {c: n for (h, c), n in counts.items() if h == g} == Counter(model.pretokenize(whole[g]))
+
+
+@pytest.mark.parametrize("part_bytes", [40, 1 << 20])
+def test_ordered_export(spark, tmp_path, part_bytes):
+    """Files read in the manifest's order give each label's joined text."""
+    texts = [t + "é" for t in spaced_docs(2)] + ["", "x" * 30_000, None]
+    rows = [(100 - i, ["x", "y", None][i % 3], t) for i, t in enumerate(texts)]
+    path = str(tmp_path / "joined")
+    manifest = corpus.export_joined(spark.createDataFrame(rows, "doc_id long, g string, text string"), "g", path, part_bytes).collect()
+    pieces = corpus.exported_pieces(spark, path).collect()
+    digests = {r["label"]: r for r in corpus.exported_digests(spark, path).collect()}
+    for label in ("x", "y", None):
+        mine = sorted((d, t) for d, g, t in rows if g == label and t is not None)
+        want = "\n\n".join(t for _, t in mine).encode()
+        got = sorted((r["part"], r["at"], bytes(r["content"])) for r in pieces if r["label"] == label)
+        assert b"".join(c for *_, c in got) == want
+        assert (digests[label]["bytes"], digests[label]["digest"]) == (len(want), hashlib.md5(want).hexdigest())
+        stretches = sorted((r["part"], r["first_doc"], r["docs"]) for r in manifest if r["label"] == label)
+        assert sum(n for *_, n in stretches) == len(mine) and stretches[0][1] == mine[0][0]
+    parts = {r["part"] for r in manifest}
+    assert (len(parts) > 5) == (part_bytes == 40)
 
 
 def test_other_patterns_keep_the_separator_with_its_document(spark):
