@@ -32,7 +32,8 @@ from .common import cut_lineage, join_bounded, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 DISCLOSURE = 0.95
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# A leftmost match starts where a run of digits does and takes whole runs, so no start or end inside a run is tried.
+_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -76,7 +77,8 @@ def base_spans(text: str) -> list[Span]:
     if not _DIGIT.search(text):
         return out
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        parts = [p.lstrip("0") or "0" for p in m[0].split(".")]
+        if all(len(p) <= 3 and int(p) <= 255 for p in parts):
             out.append(("ip", m.start(), m.end()))
     for m in _CARD.finditer(text):
         digits = _only_digits(m[0])
