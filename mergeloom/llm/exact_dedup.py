@@ -89,6 +89,14 @@ class DigestIndex:
         )
 
 
+    def merged(self, path: str) -> "DigestIndex":
+        """A copy at `path` with one sorted file per bucket. Each batch adds files to the buckets, which
+        readers sort again; an index of many batches is worth merging now and then."""
+        copy = DigestIndex(self.spark, path, self.buckets)
+        copy.append(self.known())
+        return copy
+
+
 def new_index(spark: SparkSession, buckets: int | None = None) -> DigestIndex:
     """An empty index in the work folder; by default a bucket per shuffle partition."""
     return DigestIndex(spark, new_path(spark, "digest-index"), buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -83,6 +83,9 @@ def test_index_survives_and_grows(spark):
     got = again.add(spark.createDataFrame([(3, "ab"), (4, "d"), (5, "d")], schema)).collect()
     assert {(r.doc_id, r.keep_id, r.kept) for r in got} == {(3, 1, False), (4, 4, True), (5, 4, False)}
     assert again.known().count() == 3
+    merged = again.merged(new_path(spark, "index-merged"))
+    assert bag(merged.known()) == bag(again.known())
+    assert {r.kept for r in merged.add(spark.createDataFrame([(9, "c"), (8, "ab")], schema)).collect()} == {False}
     plan = again.known().join(again.known().hint("merge"), "digest", "left_anti")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
 
