@@ -9,17 +9,23 @@ from ..session import cut_lineage
 BROADCAST_BYTES = 64 << 20
 
 
-def _width(field: T.StructField) -> Column:
+def _width(value: Column, kind: T.DataType) -> Column:
     """Approximate bytes of one value."""
-    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.octet_length(field.name), F.lit(0)) + F.lit(16)
-    if isinstance(field.dataType, T.ArrayType):
-        return F.coalesce(F.size(field.name), F.lit(0)) * 16 + F.lit(16)
-    return F.lit(16)
+    none = F.lit(16)
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + none
+    if isinstance(kind, T.ArrayType):
+        add = lambda total, x: total + _width(x, kind.elementType).cast("bigint")
+        return F.coalesce(F.aggregate(value, F.lit(0).cast("bigint"), add), F.lit(0)) + none
+    if isinstance(kind, T.MapType):
+        return _width(F.map_keys(value), T.ArrayType(kind.keyType)) + _width(F.map_values(value), T.ArrayType(kind.valueType))
+    if isinstance(kind, T.StructType):
+        return sum((_width(value.getField(f.name), f.dataType) for f in kind.fields), none)
+    return none
 
 
 def measured_bytes(df: DataFrame) -> int:
-    total = sum((_width(f) for f in df.schema.fields), F.lit(0)).cast("bigint")
+    total = sum((_width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(0)).cast("bigint")
     return df.agg(F.coalesce(F.sum(total), F.lit(0))).first()[0]
 
 

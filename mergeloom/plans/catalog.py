@@ -40,11 +40,6 @@ def _once(spark: SparkSession, sf: str, name: str, make):
     return _shared[key]
 
 
-def forget() -> None:
-    """Drop what queries share, so that the next one is timed with all its work."""
-    _shared.clear()
-
-
 def docs(spark, sf) -> DataFrame:
     return corpus.scan_corpus(spark, sf)
 

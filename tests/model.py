@@ -90,13 +90,8 @@ def quota(sizes, train_target, test_target):
 
 
 def serve(lengths, bt, world, rank):
-    """(shard, start) of the batches one rank is served in one pass."""
-    out = []
-    for shard, length in enumerate(lengths):
-        pos = bt * rank
-        while True:
-            out.append((shard, pos))
-            pos += bt * world
-            if pos + bt * world + 1 > length:
-                break
-    return out
+    """(shard, start) of the batches one rank is served in one pass: the first one in each shard, and
+    those after which a whole stride and one token more are left."""
+    stride = bt * world
+    later = lambda n: range(bt * rank + stride, n - stride, stride)
+    return [(shard, start) for shard, n in enumerate(lengths) for start in (bt * rank, *later(n))]

@@ -19,6 +19,8 @@ def test_long_values_count(spark):
     df = spark.createDataFrame([("a" * 1000, [1] * 50), (None, None)], "s string, a array<int>")
     assert 1000 + 50 * 16 <= measured_bytes(df) <= 1000 + 50 * 16 + 100
     assert measured_bytes(df.limit(0)) == 0
+    nested = df.select(F.array("s", "s").alias("list"), F.struct("s", F.array(F.struct("s")).alias("in")).alias("x"), F.create_map(F.lit("k"), "s").alias("m"))
+    assert 5 * 1000 <= measured_bytes(nested) <= 5 * 1000 + 700
 
 
 def test_shuffle_paths_give_the_same_results(spark, monkeypatch):
