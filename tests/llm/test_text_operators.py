@@ -265,6 +265,82 @@ def test_html_copies_stay_whole(spark):
     assert got[0] == "Same words here.\nAnd here." and got[23] == "Shared passage.\nOwn 3."
 
 
+def test_html_names_of_classes():
+    """A class names a part of the page, not a wrapper around the article nor a part of it."""
+    text = lambda html: html_extract.main_text(html, set())
+    story = "<article><p>A story of some words.</p></article>"
+    assert text(f"<div class='layout has-sidebar'>{story}</div>") == text(f"<div class='page-header'>{story}</div>") == "A story of some words."
+    assert text(f"<form>{story}</form><div class='related'><article>Other</article></div>") == "A story of some words."
+    inner = "<article><div class='article-header'>Head</div><p>Text <b class='ad'>buy</b> on.</p><div class='related-work'>Others</div><div id='comment-list'>{}</div></article>"
+    assert text(inner.format("I like it. " * 50)) == "Head\nText on.\nOthers"
+    assert text("<div class='site-footer'>foot</div><div>A story of some words.</div><div class='comments'>" + "So long. " * 50) == "A story of some words."
+
+
+def test_html_template_larger_than_the_text(spark):
+    menu = "".join(f"<div>Entry {c}</div>" for c in "abcdefghijkl")
+    short = menu + "<p>A short story, number {0}.</p><div>Imprint</div>"
+    near = "<h2>Heading that stays</h2>" + "".join(f"<div>Paragraph {c} that every copy of the text repeats.</div>" for c in "abcdefgh") + "<div>Paragraph that is edited in copy {0} only.</div>"
+    rows = [(i, "http://s.example/", short.format(i)) for i in range(20)] + [(100 + i, "http://n.example/", near.format(i)) for i in range(20)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    for i in range(20):
+        assert got[i] == f"A short story, number {i}."
+        assert got[100 + i].count("\n") == 9 and got[100 + i].endswith(f"in copy {i} only.")
+
+
+def test_html_deep_pages():
+    """Time grows with a page's length, whatever stays open."""
+    for piece in ("<span>w ", "<div>w ", "<span>w<li>"):
+        start = time.time()
+        page = html_extract.parsed(piece * 100_000)
+        html_extract.features(page)
+        assert html_extract.main_text(piece * 100_000, {1}).count("w") == 100_000
+        assert time.time() - start < 30
+
+
+def low_model(pages):
+    """Low keys of one host's pages from the definition of importance."""
+    shown = {}
+    for html in pages:
+        content, rows = html_extract.features(html_extract.parsed(html))
+        for node, feature, children, _, hint in rows:
+            shown.setdefault(node, {}).setdefault((feature, children, hint), set()).add(content)
+    low = set()
+    for node, found in shown.items():
+        m = len(set().union(*found.values()))
+        if m < html_extract.LEAST_PAGES:
+            continue
+
+        def entropy(shares):
+            return -sum(p * np.log(p) for p in shares) / np.log(m)
+
+        texts = {f: 1 - entropy([1 / len(on)] * len(on)) for (f, c, _), on in found.items() if c < 0}
+        shapes = {f: (c, len(on)) for (f, c, _), on in found.items() if c >= 0}
+        shown_on = sum(n for _, n in shapes.values())
+        g = 0.9 ** (sum(c * n for c, n in shapes.values()) / shown_on) if shapes else 1.0
+        presentation = min(1.0, entropy([n / m for _, n in shapes.values()])) if shapes else 1.0
+        importance = (1 - g) * presentation + g * (np.mean(list(texts.values())) if texts else 1.0)
+        low |= {node} if importance * (0.5 if any(h for _, _, h in found) else 1) < html_extract.LEAST_IMPORTANCE else set()
+        low |= {node ^ f for f, v in texts.items() if v < html_extract.LEAST_IMPORTANCE}
+    return low
+
+
+def test_html_tree_is_the_definition(spark):
+    rng = np.random.default_rng(11)
+    hosts = {}
+    for h in range(4):
+        for _ in range(24):
+            bits = [f"<div class='m{j}'><i>Menu {j if rng.random() < 0.9 else rng.integers(99)}</i><b>x</b></div>" for j in range(5) if rng.random() < 0.85]
+            bits += [f"<section class='post-header'><p>{cases.prose(int(rng.integers(1000)), 12)}</p></section>" for _ in range(int(rng.integers(1, 4)))]
+            bits += ["<ul class='l'>" + "".join(f"<li>Item {rng.integers(3)}</li>" for _ in range(int(rng.integers(1, 15)))) + "</ul>"]
+            hosts.setdefault(f"h{h}", []).append("<body>" + "".join(bits))
+    rows = [(i, f"http://{h}/{i}", html) for h, pages in hosts.items() for i, html in enumerate(pages)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.host: set(r.low) for r in html_extract.noise(pages).collect()}
+    key = {r.h: r.k for r in spark.createDataFrame([(h,) for h in hosts], "h string").select("h", F.xxhash64("h").alias("k")).collect()}
+    for h, own in hosts.items():
+        assert low_model(own) and got[key[h]] == low_model(own)
+
+
 def test_licences(spark):
     lines = ["Released under the MIT License.", "licensed under the apache license, version 2.0", "Licensed under CC BY-NC 4.0."]
     rows = [(i, cases.prose(i, 30) + "\n" + (lines[i % 3] + "\n" if i % 2 else "") + cases.prose(i + 99, 20), "en", "s", 0) for i in range(40)]
