@@ -40,6 +40,7 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.joins import join_back
 from .blocks import plain
 from .common import cut_lineage, join_bounded, text_of
 
@@ -272,7 +273,10 @@ def noise(pages: DataFrame) -> DataFrame:
     per_feature = rows.groupBy("host", "node", "feature").agg(F.count(F.lit(1)).alias("n"), *own)
     node_pages = rows.select("host", "node", "page").distinct().groupBy("host", "node").agg(F.count(F.lit(1)).alias("m"))
     node_pages = node_pages.where(F.col("m") >= LEAST_PAGES)
-    joined = cut_lineage(per_feature.join(node_pages, ["host", "node"]), "features")
+    # A node of a host may hold most features of all pages: its rows are dealt to several tasks.
+    at = F.struct("host", "node").alias("at")
+    joined = join_back(per_feature.withColumn("at", at), node_pages.select(at, "m"), "at").drop("at")
+    joined = cut_lineage(joined, "features")
     is_text = F.col("children") < 0
     # A text on n of m pages, evenly: its entropy over the pages is log n / log m.
     text_low = 1 - F.ln("n") / F.ln("m")
