@@ -10,9 +10,12 @@ confirmed on full sets (100 * intersection >= 75 * union).
 
 How hot groups stay linear: documents with equal sets become one class first;
 in a bucket every class is compared with the bucket's smallest id only (a
-star). Members of buckets that then still hold several components are compared
+star), then, where a bucket still holds several components, with its shortest text. Members of buckets that even then
+hold several components are compared
 across components by exact prefix filtering on rare shingles, so no linked pair
-of a bucket is lost and large groups of copies never meet in all pairs.
+of a bucket is lost and large groups of copies never meet in all pairs. Shingles of a template that many
+texts share meet only texts of sizes that can be similar. (Texts that are linked in very many pairs, none of them
+through a bucket's smallest id or shortest text, would still meet in as many pairs as there are links.)
 
 Edge cases: null text counts as empty. A document without words has an empty
 set, links to nothing and stays. Fewer than five words make one shingle. Rows
@@ -41,6 +44,10 @@ SHINGLE = 5
 COORDINATES = 128
 BANDS = 32
 SIMILAR = 75
+#: Pairs with one document that a task confirms together; an item in more documents than `HOT_ITEM` is dealt to parts.
+LINKS_A_PART = 500
+HOT_ITEM = 64
+HOT_PARTS = 4
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _SEEDS = np.random.default_rng(7001).integers(0, 1 << 63, 2 * COORDINATES, dtype=np.uint64)
 _BAND = np.random.default_rng(7002).integers(0, 1 << 63, BANDS, dtype=np.uint64)
@@ -120,39 +127,83 @@ def _sets_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough."""
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("items").alias("x")), "a").join(
-        sets.select(F.col("id").alias("b"), F.col("items").alias("y")), "b"
-    )
+    """The pairs (a, b) whose full shingle sets are similar enough.
+
+    Many pairs with one `b` are dealt to parts, and its set goes to each of them.
+    """
+    per_b = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / F.lit(LINKS_A_PART)).alias("parts")).where("parts > 1")
+    dealt = join_bounded(pairs, per_b, "b", "left")
+    dealt = dealt.select("a", "b", F.pmod(F.xxhash64("a"), F.coalesce("parts", F.lit(1))).alias("part"))
+    firsts = dealt.join(sets.select(F.col("id").alias("a"), F.col("items").alias("x")), "a")
+    seconds = dealt.select("b", "part").distinct().join(sets.select(F.col("id").alias("b"), F.col("items").alias("y")), "b")
+    both = firsts.join(seconds, ["b", "part"])
     shared = F.size(F.array_intersect("x", "y")).cast("bigint")
     measured = both.select("a", "b", shared.alias("shared"), (F.size("x") + F.size("y")).cast("bigint").alias("total"))
     return measured.where(F.col("shared") * 100 >= (F.col("total") - F.col("shared")) * SIMILAR).select("a", "b").distinct()
 
 
+def _step(length: Column) -> Column:
+    """Lengths in geometric steps of 2 %."""
+    return F.floor(F.ln(length.cast("double")) / F.ln(F.lit(1.02))).cast("int")
+
+
+def _met(prefixes: DataFrame) -> DataFrame:
+    """Pairs of prefix rows (item, df, id, root, n, i) that share an item, the shorter document's `id`, `root`, `n`, `i`
+    beside the longer one's `b`, `other`, `m`, `j`.
+
+    A similar pair's first common shingle is followed by at least 3/7 of both sizes together in either document. So it
+    stands in the first seventh of the shorter one, and its place there bounds the longer one's size:
+    rows of shingles that many documents share meet only sizes (in steps) that can still be similar.
+    """
+    both = 100 + SIMILAR
+    shorter = prefixes.where((F.col("n") - F.col("i")) * both >= 2 * SIMILAR * F.col("n"))
+    shorter = shorter.withColumn("longest", F.floor((F.col("n") - F.col("i")) * both / F.lit(SIMILAR)) - F.col("n"))
+    longer = prefixes.select("item", "df", F.col("id").alias("b"), F.col("root").alias("other"), F.col("n").alias("m"), F.col("i").alias("j"))
+    hot = F.col("df") > HOT_ITEM
+    few = shorter.where(~hot).drop("df").join(longer.where(~hot).drop("df"), "item")
+    steps = F.sequence(_step(F.col("n")), _step(F.col("longest")))
+    probes = shorter.where(hot).drop("df").withColumn("step", F.explode(steps)).withColumn("part", F.explode(F.array(*map(F.lit, range(HOT_PARTS)))))
+    probed = longer.where(hot).drop("df").withColumn("step", _step(F.col("m"))).withColumn("part", F.pmod(F.xxhash64("b"), F.lit(HOT_PARTS)).cast("int"))
+    many = probes.join(probed, ["item", "step", "part"]).drop("step", "part")
+    return few.unionByName(many)
+
+
+def _prefixes(left: DataFrame, sets: DataFrame) -> DataFrame:
+    """(item, df, id, root, n, i): the first quarter of each document's shingles in order of rarity."""
+    rows = left.join(sets, "id").select("id", "root", F.size("items").cast("bigint").alias("n"), F.explode("items").alias("item"))
+    rows = cut_lineage(rows, "cross-items")
+    often = rows.groupBy("item").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    order = Window.partitionBy("id").orderBy("df", "item")
+    # Shingles of one document only come first; they count as places, but meet nothing.
+    placed = rows.join(often, "item", "left").withColumn("df", F.coalesce("df", F.lit(1))).withColumn("i", F.row_number().over(order) - 1)
+    placed = placed.where((F.col("df") > 1) & ((F.col("n") - F.col("i")) * 100 >= F.col("n") * SIMILAR))
+    return cut_lineage(placed.select("item", "df", "id", "root", "n", "i"), "prefixes")
+
+
 def _cross_pairs(left: DataFrame, sets: DataFrame) -> DataFrame:
     """Every pair (a, b) of `left` (id, root) in different components that can
     still be similar enough: exact prefix filtering.
 
     A document's shingles are put in order of rarity. A similar pair's first
-    common shingle then stands in the first quarter of either, and what follows
+    common shingle then stands early in either, and what follows
     it bounds the intersection. Passages that many documents share come last,
     so they don't bring documents together.
     """
-    rows = left.join(sets, "id").select("id", "root", F.size("items").cast("bigint").alias("n"), F.explode("items").alias("item"))
-    rows = cut_lineage(rows, "cross-items")
-    often = rows.groupBy("item").agg(F.count(F.lit(1)).alias("df"))
-    order = Window.partitionBy("id").orderBy("df", "item")
-    placed = rows.join(often, "item").withColumn("i", F.row_number().over(order) - 1)
-    prefix = cut_lineage(
-        placed.where((F.col("df") > 1) & ((F.col("n") - F.col("i")) * 100 >= F.col("n") * SIMILAR)), "prefixes"
-    ).select("item", "id", "root", "n", "i")
-    other = prefix.select("item", F.col("id").alias("b"), F.col("root").alias("other"), F.col("n").alias("m"), F.col("i").alias("j"))
+    met = _met(_prefixes(left, sets))
     most = F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j"))
     can = most * (100 + SIMILAR) >= (F.col("n") + F.col("m")) * SIMILAR
-    pairs = prefix.join(other, "item").where((F.col("root") < F.col("other")) & can)
+    ordered = (F.col("n") < F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("id") < F.col("b")))
+    pairs = met.where(ordered & (F.col("root") != F.col("other")) & can)
     return pairs.select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")).distinct()
 
 
+def _undecided(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, id, root) of the buckets that hold several components."""
+    sided = buckets.join(roots.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
+    mixed = sided.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("key")
+    return join_back(sided, mixed, "key")
+
+
 def links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, root) of the link graph over class representatives.
 
@@ -166,9 +217,19 @@ def links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     linked = cut_lineage(_confirmed(stars, sets), "star-links")
     roots = components(linked)
 
-    sided = buckets.join(roots.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
-    mixed = sided.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("key")
-    left = cut_lineage(join_back(sided, mixed, "key").select("id", "root").distinct(), "undecided")
+    # A template's shortest page is the one most like the others.
+    left = cut_lineage(_undecided(buckets.select("key", "id"), roots), "mixed")
+    if left.isEmpty():
+        return roots
+    sizes = sets.select("id", F.size("items").alias("n"))
+    sized = left.join(sizes, "id")
+    shortest = sized.groupBy("key").agg(F.min(F.struct("n", "id", "root")).alias("s")).select("key", "s.*")
+    shortest = shortest.select("key", F.col("id").alias("leader"), F.col("root").alias("led"))
+    more = join_back(left, shortest, "key").where("root <> led").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
+    linked = linked.unionByName(cut_lineage(_confirmed(cut_lineage(more, "second-stars"), sets), "second-links"))
+    roots = components(linked)
+
+    left = cut_lineage(_undecided(left.select("key", "id"), roots).select("id", "root").distinct(), "undecided")
     more = cut_lineage(_confirmed(_cross_pairs(left, sets), sets), "cross-links")
     return components(linked.unionByName(more)) if not more.isEmpty() else roots
 

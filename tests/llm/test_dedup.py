@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from mergeloom.llm import exact_dedup, near_dedup
 from mergeloom.llm.components import components
@@ -140,6 +141,44 @@ def test_near_chains_and_shared_passages(spark, seed):
     assert got == near_model(rows)
 
 
+def template_pages(pages, own):
+    """Pages of one template of 100 words, with numbers of own words dealt from `own`."""
+    frame = [f"t{i}" for i in range(100)]
+    return [(i, " ".join(frame + [f"p{i}x{j}" for j in range(own[i % len(own)])])) for i in range(pages)]
+
+
+def met_pairs(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    ids = docs.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("root"))
+    return near_dedup._met(near_dedup._prefixes(ids, near_dedup._sets_of(ids.select("id"), docs)))
+
+
+def test_near_templates_meet_in_proportion(spark):
+    """Pages a little less alike than a link asks for (0.73 and less) aren't met in all pairs, nor are short pages with long ones."""
+    met = {pages: met_pairs(spark, template_pages(pages, range(18, 30))).count() for pages in (1000, 4000)}
+    assert met[4000] <= 8 * max(met[1000], 1000)
+    assert met_pairs(spark, template_pages(400, [8, 31])).where("n < 110 and m > 120").count() == 0
+
+
+@pytest.mark.parametrize("hot", [0, 64])
+def test_near_templates_of_all_sizes(spark, monkeypatch, hot):
+    """Linked and unlinked pages of one template, compared with all pairs; also with every shingle treated as a hot one."""
+    monkeypatch.setattr(near_dedup, "HOT_ITEM", hot)
+    monkeypatch.setattr(near_dedup, "LINKS_A_PART", 5)
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(120):
+        frame = [f"t{j}" for j in range(60)]
+        rows.append((1000 - i, " ".join(frame + [f"p{i}x{j}" for j in range(int(rng.integers(2, 40)))])))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(tuple(r) for r in near_dedup.decide(docs).collect()) == near_model(rows)
+    ids = docs.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("root"))
+    sets = near_dedup._sets_of(ids.select("id"), docs)
+    found = {tuple(r) for r in near_dedup._confirmed(near_dedup._cross_pairs(ids, sets), sets).collect()}
+    own = {i: shingle_set(t) for i, t in rows}
+    assert found == {(a, b) for a in own for b in own if a > b and 100 * len(own[a] & own[b]) >= 75 * len(own[a] | own[b])}
+
+
 def test_sketch_fills_every_coordinate_and_estimates():
     rng = np.random.default_rng(5)
     pool = rng.integers(0, 1 << 63, 900, dtype=np.uint64)
