@@ -1,13 +1,14 @@
 """Licence scan: a trained paragraph classifier, in DataFrame operations only.
 
-A paragraph is a line of text. Its words and word pairs are hashed into sparse binary
-features; a multinomial logistic regression gives the probability of each
+A paragraph is a line of text. Those of its words and word pairs that occur in a notice or a variant of one, and steps
+of the number of its other words, are hashed into sparse binary features; a multinomial logistic regression gives the probability of each
 licence family and of none. It is trained on the family notices below, with variants (a copyright
-line in front, words left out), against lines of at most `FIT_DOCUMENTS` corpus documents (those with
-the smallest hash of doc_id) that share no three-word run with a notice.
+line in front, words left out, with words of its own), against all lines of the corpus that share no three-word run with a notice.
+Lines with the same features are one to the model, so it is fitted on the distinct sets of features, weighted by their numbers of lines.
 
 A line counts as licence text if its probability of none is below a threshold
-calibrated on lines held out of training (no held-out ordinary line passes, with a margin). It gets the
+calibrated on the sets held out of training, a quarter of all (no ordinary line among them passes, with a margin,
+unless the threshold would exceed 0.9). It gets the
 likeliest family if at least `CONFIRMED` of the three-word runs of one of the family's
 notices occur in it, and is `unknown` otherwise.
 
@@ -18,6 +19,7 @@ ordinary lines trains against a fixed few. Extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -28,7 +30,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .common import cut_lineage, text_of
 
 FEATURES = 1 << 14
-FIT_DOCUMENTS = 400
+# Numbers of words that no notice has; a notice in a corpus has names and years of its own.
+OTHERS = (1, 4, 16, 64, 256)
+OWN_WORDS = 6
 CONFIRMED = 0.6
 NONE = "none"
 UNKNOWN = "unknown"
@@ -70,10 +74,10 @@ def tokens(text: Column) -> Column:
 
 def runs(words: Column) -> Column:
     """Three-word runs; shorter texts as one run."""
-    triples = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(words) - 2, F.lit(1))), lambda i: F.array_join(F.slice(words, i, 3), " ")
-    )
-    return F.array_distinct(triples)
+    rest = lambda k: F.slice(words, k, 1 << 30)
+    pairs = F.zip_with(words, rest(2), lambda a, b: F.concat(a, F.lit(" "), b))
+    triples = F.zip_with(pairs, rest(3), lambda ab, c: F.concat(ab, F.lit(" "), c))
+    return F.when(F.size(words) < 3, F.array(F.array_join(words, " "))).otherwise(F.array_distinct(F.array_compact(triples)))
 
 
 def _notices(spark: SparkSession) -> DataFrame:
@@ -86,66 +90,101 @@ def lines(docs: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"], F.posexplode(F.split(text_of(docs), "\n")).alias("place", "line"))
 
 
-def featured(rows: DataFrame) -> DataFrame:
-    """Adds `features` of column `line`."""
+def variants(notices: DataFrame) -> DataFrame:
+    """family and line: each notice as it is, with a line before or after it, and with every fifth word left out."""
+    words = F.split("line", " ")
+    return notices.select(
+        "family",
+        F.explode(
+            F.concat(
+                F.array("line", F.concat(F.lit("Copyright 2020 The Authors. "), "line"), F.concat("line", F.lit(" See the file for details."))),
+                F.transform(
+                    F.sequence(F.lit(0), F.lit(4)),
+                    lambda k: F.array_join(F.filter(words, lambda w, i: (i % 5) != k), " "),
+                ),
+            )
+        ).alias("line"),
+    )
+
+
+def _worded(rows: DataFrame) -> DataFrame:
+    """Adds `words` and `terms`, words and pairs of words, of column `line`."""
     pairs = NGram(n=2, inputCol="words", outputCol="pairs")
-    hashed = HashingTF(inputCol="terms", outputCol="features", numFeatures=FEATURES, binary=True)
     worded = pairs.transform(rows.withColumn("words", tokens(F.col("line"))))
-    return hashed.transform(worded.withColumn("terms", F.concat("words", "pairs"))).drop("pairs", "terms")
+    return worded.withColumn("terms", F.concat("words", "pairs")).drop("pairs")
+
+
+def known_terms(spark: SparkSession) -> list[str]:
+    """The words and pairs of all notices and their variants: a fixed list, whatever the corpus."""
+    rows = _worded(variants(_notices(spark))).select(F.explode("terms").alias("term")).distinct()
+    return sorted(r.term for r in rows.collect())
+
+
+def termed(rows: DataFrame, known: list[str]) -> DataFrame:
+    """Adds `words` of column `line`, and `terms`: those `known` ones that it has, in the order of `known`, and a
+    term for each of `OTHERS` that its number of other distinct words reaches."""
+    listed = F.from_json(F.lit(json.dumps(known)), "array<string>")
+    met = _worded(rows).withColumn("terms", F.array_intersect(listed, F.col("terms")))
+    others = F.size(F.array_distinct("words")) - F.size(F.filter("terms", lambda t: ~F.contains(t, F.lit(" "))))
+    counted = met.withColumn("others", others)
+    levels = [F.when(F.col("others") >= n, F.lit(f"~{n}")) for n in OTHERS]
+    return counted.withColumn("terms", F.concat("terms", F.array_compact(F.array(*levels)))).drop("others")
+
+
+def featured(rows: DataFrame) -> DataFrame:
+    """Adds `features` of column `terms`."""
+    return HashingTF(inputCol="terms", outputCol="features", numFeatures=FEATURES, binary=True).transform(rows)
 
 
 @dataclass(frozen=True)
 class Classifier:
     model: LogisticRegressionModel
     threshold: float  # least probability of being licence text
+    known: list[str]  # terms that count
+    fitted: int = 0  # ordinary lines, held out ones included
 
 
 def train(docs: DataFrame) -> Classifier:
     spark = docs.sparkSession
     notices = _notices(spark)
-    words = F.split("line", " ")
-    variants = notices.select(
-        "family",
-        F.explode(
-            F.concat(
-                F.array("line", F.concat(F.lit("Copyright 2020 The Authors. "), "line"), F.concat("line", F.lit(" See the file for details."))),
-                F.transform(
-                    F.sequence(F.lit(0), F.lit(4)),
-                    lambda k: F.array_join(F.filter(words, lambda w, i: (i % 5) != k), " "),
-                ),
-            )
-        ).alias("line"),
-    )
-    known = notices.select(F.explode(runs(tokens(F.col("line")))).alias("run")).distinct()
-    text = text_of(docs)
-    # Ids first, so that only the chosen texts move.
-    chosen = docs.select(docs["doc_id"]).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCUMENTS)
-    some = docs.select(docs["doc_id"], text.alias("text")).join(F.broadcast(chosen), "doc_id")
-    sample = cut_lineage(lines(some).select("line").distinct(), "ordinary-lines")
-    touched = sample.select("line", F.explode(runs(tokens(F.col("line")))).alias("run")).join(F.broadcast(known), "run", "left_semi")
-    ordinary = sample.join(touched.select("line").distinct(), "line", "left_anti")
+    known = known_terms(spark)
+    notice_runs = [r.run for r in notices.select(F.explode(runs(tokens(F.col("line")))).alias("run")).distinct().collect()]
+    rows = termed(lines(docs).select("line"), known)
+    # A run of three words that a notice has brings two of its pairs; runs are only made where that can be.
+    pair = F.exists("terms", lambda t: F.contains(t, F.lit(" ")))
+    listed = F.from_json(F.lit(json.dumps(sorted(notice_runs))), "array<string>")
+    touched = F.when(pair | (F.size("words") < 3), F.arrays_overlap(runs(F.col("words")), listed)).otherwise(F.lit(False))
     fixed = spark.range(1).select(F.explode(F.array(*map(F.lit, _ORDINARY))).alias("line"))
-    none = ordinary.unionByName(fixed).select(F.lit(NONE).alias("family"), "line")
-    held = (F.col("family") == NONE) & (F.pmod(F.xxhash64("line"), F.lit(4)) == 0)
+    # Counted by set of terms; filtered after that, or else the filter would split the lines into words once more.
+    sets = rows.select("terms", (~touched).cast("bigint").alias("n")).groupBy("terms").agg(F.sum("n").alias("n"))
+    ordinary = sets.unionByName(termed(fixed, known).select("terms", F.lit(1).cast("bigint").alias("n"))).where("n > 0")
+    none = ordinary.select(F.lit(NONE).alias("family"), "terms", "n")
+    held = (F.col("family") == NONE) & (F.pmod(F.xxhash64("terms"), F.lit(4)) == 0)
     code = F.array_position(F.array(*map(F.lit, FAMILIES)), F.col("family")).cast("double") - 1
-    rows = cut_lineage(variants.unionByName(none).select("family", "line", code.alias("label"), held.alias("held")), "licence-training")
-    sizes = {r.label: r.n for r in rows.where("not held").groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    plain = variants(notices)
+    own = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(OWN_WORDS)), lambda i: F.concat(F.lit("own-"), i.cast("string"))), " ")
+    both = plain.unionByName(plain.select("family", F.concat_ws(" ", own, "line").alias("line")))
+    every = termed(both, known).select("family", "terms", F.lit(1).cast("bigint").alias("n")).unionByName(none)
+    rows = cut_lineage(every.select("family", "terms", "n", code.alias("label"), held.alias("held")), "licence-training")
+    counted = rows.groupBy("label", "held").agg(F.sum("n").alias("n")).collect()
     weight = F.lit(0.0)
-    for label, n in sizes.items():
-        weight = F.when(F.col("label") == label, 1.0 / n).otherwise(weight)
-    fit_rows = cut_lineage(featured(rows.where("not held")).select("label", weight.alias("weight"), "features").coalesce(1), "licence-features")
+    for label, n in ((r.label, r.n) for r in counted if not r.held):
+        weight = F.when(F.col("label") == label, F.col("n") / float(n)).otherwise(weight)
+    fit_rows = featured(rows.where("not held")).select("label", weight.alias("weight"), "features")
     model = LogisticRegression(family="multinomial", weightCol="weight", maxIter=40, regParam=0.002, standardization=False).fit(fit_rows)
     seen = model.transform(featured(rows.where("held"))).select((1 - vector_to_array("probability")[0]).alias("p"))
     highest = seen.agg(F.max("p")).first()[0] or 0.0
-    return Classifier(model, min(0.9, max(0.5, 1.1 * highest)))
+    fitted = sum(r.n for r in counted if r.label == 0)
+    return Classifier(model, min(0.9, max(0.5, 1.1 * highest)), known, fitted)
 
 
 def found(docs: DataFrame, classifier: Classifier) -> DataFrame:
     """doc_id, place, family, probability, similarity of every licence line."""
-    scored = classifier.model.transform(featured(lines(docs))).select(
-        "doc_id", "place", "line", vector_to_array("probability").alias("p")
+    scored = classifier.model.transform(featured(termed(lines(docs), classifier.known))).select(
+        "doc_id", "place", "line", vector_to_array("probability").alias("p"), F.monotonically_increasing_id().alias("row")
     )
-    likely = scored.where(1 - F.col("p")[0] >= classifier.threshold).select(
+    # A filter isn't pushed below a row number: there it would split the lines into words and score them once more.
+    likely = scored.where((1 - F.col("p")[0] >= classifier.threshold) & (F.col("row") >= 0)).select(
         "doc_id", "place", "line", F.slice("p", 2, len(FAMILIES) - 1).alias("p")
     )
     names = F.array(*map(F.lit, FAMILIES[1:]))
