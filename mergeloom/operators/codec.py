@@ -8,6 +8,7 @@ there. `encode_column` is the pure expression form, for few merges.
 
 from __future__ import annotations
 
+import itertools
 import json
 from typing import Iterator
 
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import ragged
 from ..functions.codes import apply_merges, byte_codes, code_ids, lossy_text
-from ..functions.ragged import MergeRanks, encode_strings, take_rows, to_list_array
+from ..functions.ragged import SLICE_BYTES, MergeRanks, byte_lengths, encode_lists, encode_strings, to_list_array, weight_cuts
 from ..functions.text import chunks, chunks_with_specials, special_alternation
 from ..session import cut_lineage
 from .dictionary import exploded_chunks
@@ -76,16 +77,9 @@ def encode_documents(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = MergeRanks(merges, FIRST_MERGE_ID)
         for batch in batches:
-            lists = batch.column(text)
-            flat = lists.flatten().dictionary_encode()
-            values, lengths = encode_strings(flat.dictionary, table, allowed)
-            per_chunk = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            values, chunk_lengths = take_rows(values, lengths, per_chunk)
-            n_chunks = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            ends = np.r_[0, np.cumsum(chunk_lengths)][np.cumsum(n_chunks)]
-            tokens = to_list_array(values, np.diff(np.r_[0, ends]))
-            rest = [batch.column(c) for c in schema.names if c != "tokens"]
-            yield pa.RecordBatch.from_arrays([*rest, tokens], names=schema.names)
+            for first, tokens in encode_lists(batch.column(text), table, allowed):
+                rest = [batch.column(c).slice(first, len(tokens)) for c in schema.names if c != "tokens"]
+                yield pa.RecordBatch.from_arrays([*rest, tokens], names=schema.names)
 
     return chunked.mapInArrow(encode, schema)
 
@@ -100,10 +94,13 @@ def encode_chunks(df: DataFrame, tokenizers: list[Tokenizer], chunk: str = "chun
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranked = [(name, MergeRanks(merges, FIRST_MERGE_ID)) for name, merges, _ in tables]
         for batch in batches:
-            for name, table in ranked:
-                tokens = to_list_array(*encode_strings(batch.column(chunk), table, {}))
-                label = pa.array([name] * batch.num_rows, pa.string())
-                yield pa.RecordBatch.from_arrays([*batch.columns, label, tokens], names=schema.names)
+            # Some bytes of chunks at a time: merging holds many times what it reads.
+            for a, b in itertools.pairwise(weight_cuts(byte_lengths(batch.column(chunk)), SLICE_BYTES)):
+                some = batch.slice(a, b - a)
+                for name, table in ranked:
+                    tokens = to_list_array(*encode_strings(some.column(chunk), table, {}))
+                    label = pa.array([name] * some.num_rows, pa.string())
+                    yield pa.RecordBatch.from_arrays([*some.columns, label, tokens], names=schema.names)
 
     return df.mapInArrow(encode, schema)
 
