@@ -13,7 +13,6 @@ import json
 from typing import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -203,13 +202,24 @@ def out_of_range(tokens: Column | str) -> Column:
 
 def external_encoder(encode=None, encode_batch=None):
     """Column encoder for an outside tokenizer: `encode(str) -> list[int]`, or
-    `encode_batch(list[str]) -> list[list[int]]` where it has one. NULL stays NULL."""
+    `encode_batch(list[str]) -> list[list[int]]` where it has one. NULL stays NULL.
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def run(texts: pd.Series) -> pd.Series:
-        known = texts.dropna()
-        ids = encode_batch(known.tolist()) if encode_batch else map(encode, known)
-        return pd.Series([list(i) for i in ids], known.index, dtype=object).reindex(texts.index)
+    Texts are handed over some bytes at a time, and their ids are kept as 32-bit values, never as Python lists of a batch.
+    """
+
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def run(texts: pa.Array) -> pa.Array:
+        lengths, values = np.zeros(len(texts), np.int64), bytearray()
+        missing = texts.is_null().to_numpy(zero_copy_only=False)
+        for a, b in itertools.pairwise(weight_cuts(byte_lengths(texts), SLICE_BYTES)):
+            at = a + np.flatnonzero(~missing[a:b])
+            known = texts.slice(a, b - a).drop_null().to_pylist()
+            for i, ids in zip(at, encode_batch(known) if encode_batch else map(encode, known)):
+                ids = np.array(list(ids), np.int32)
+                lengths[i] = len(ids)
+                values += ids.tobytes()
+        lists = to_list_array(np.frombuffer(values, np.int32), lengths)
+        return pa.ListArray.from_arrays(lists.offsets, lists.values, mask=pa.array(missing))
 
     return run
 
@@ -217,8 +227,10 @@ def external_encoder(encode=None, encode_batch=None):
 def external_decoder(decode):
     """Column decoder for an outside tokenizer's `decode(list[int]) -> str`."""
 
-    @F.pandas_udf(T.StringType())
-    def run(tokens: pd.Series) -> pd.Series:
-        return tokens.map(lambda ids: decode([int(i) for i in ids]), na_action="ignore")
+    @F.arrow_udf(T.StringType())
+    def run(tokens: pa.Array) -> pa.Array:
+        values, offsets = tokens.values.to_numpy(zero_copy_only=False), tokens.offsets.to_numpy()
+        rows = zip(offsets[:-1].tolist(), offsets[1:].tolist(), tokens.is_valid().to_pylist())
+        return pa.array([decode(values[a:b].tolist()) if valid else None for a, b, valid in rows], pa.string())
 
     return run
