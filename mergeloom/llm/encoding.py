@@ -2,7 +2,7 @@
 
 In this vocabulary's splitting rule a space before a printing character starts
 a new piece whatever precedes it, so a text is cut at its spaces and every
-distinct word is encoded once per worker. The vocabulary file of `tokenizers` is read; words of ordinary
+distinct word is encoded once per worker, the new ones of a text together. The vocabulary file of `tokenizers` is read; words of ordinary
 Latin characters are merged by `tiktoken` over the same ranks, which gives the same
 ids several times faster, all others by `tokenizers` itself. Texts where a space
 comes before white space are encoded whole by `tokenizers`.
@@ -23,6 +23,9 @@ KEPT_WORDS = 200_000
 #: Longer words (texts without spaces, among others) are encoded each time, so what is kept
 #: is bounded in bytes too: some 45 MB of usual words, 250 MB if all were of 64 three-byte characters.
 KEPT_CHARS = 64
+#: Words of a long text that are looked up at once, and new words from which one call for all pays.
+WORDS_AT_ONCE = 1 << 15
+_SEVERAL = 8
 _ORDINARY = re.compile(r"[\t\n\x20-\x7e¡-¬®-ſ]*").fullmatch
 _encoders: dict[str, "Encoder"] = {}
 
@@ -67,6 +70,7 @@ class Encoder:
         spelled = [b""] * (max(ranks.values()) + 2)
         for token, i in ranks.items():
             spelled[i] = token
+        self.widths = np.array([len(s) for s in spelled])
         self.ends_line = np.array([s.endswith(b"\n") for s in spelled])
         self.ends_sentence = np.array([s.rstrip(b"\"')").endswith((b".", b"!", b"?")) for s in spelled])
         self.starts_space = np.array([s[:1].isspace() for s in spelled])
@@ -94,10 +98,38 @@ class Encoder:
     def _word(self, word: str) -> list[int]:
         return self.fast.encode_ordinary(word) if _ORDINARY(word) else self.tokenizer.encode(word, add_special_tokens=False).ids
 
+    def _learn(self, words: list[str]) -> None:
+        """Store the usual ones of the new words. They are encoded as one text and told apart by the
+        bytes of their tokens; what is left out here is encoded when it is looked up."""
+        known = self.words
+        new = [w for w in set(words) if w not in known and 1 < len(w) <= KEPT_CHARS and w[0] == " " and not w[1].isspace()]
+        if len(new) < _SEVERAL:
+            return
+        joined = "".join(new)
+        if not _ORDINARY(joined):
+            new = list(filter(_ORDINARY, new))
+            joined = "".join(new)
+        if len(known) + len(new) > KEPT_WORDS:
+            known.clear()
+            if len(new) > KEPT_WORDS:
+                return
+        ids = np.array(self.fast.encode_ordinary(joined), np.int32)
+        ends = np.cumsum([len(w) for w in (new if joined.isascii() else map(str.encode, new))])
+        cuts = 4 * (np.searchsorted(np.cumsum(self.widths[ids]), ends) + 1)
+        raw, first = ids.tobytes(), 0
+        for word, last in zip(new, cuts.tolist()):
+            known[word] = raw[first:last]
+            first = last
+
+    def _found(self, words: list[str]) -> bytes:
+        self._learn(words)
+        return b"".join(map(self.words.__getitem__, words))
+
     def encode(self, text: str) -> np.ndarray:
         if "\x00" not in text:
+            words = text.replace(" ", "\x00 ").split("\x00")
             try:
-                ids = b"".join(map(self.words.__getitem__, text.replace(" ", "\x00 ").split("\x00")))
+                ids = b"".join([self._found(words[a : a + WORDS_AT_ONCE]) for a in range(0, len(words), WORDS_AT_ONCE)])
             except TypeError:  # a None among them
                 return self.whole(text)
             return np.frombuffer(ids, np.int32)
