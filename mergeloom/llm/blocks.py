@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
-_HASHED_AT_ONCE = 1 << 18
+_HASHED_AT_ONCE = 1 << 14
 _random = np.random.default_rng(20240607)
 _BYTE = _random.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _GRAM = _random.integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)

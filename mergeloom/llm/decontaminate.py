@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .blocks import WORD, Words, grams, plain, slices, words
-from .common import cut_lineage, text_of
+from .common import cut_lineage, give_back, text_of
 
 WINDOW = 10
 GRAM = 5
@@ -181,6 +181,7 @@ def _scanner(shared) -> Callable[[Column, Column], Column]:
                 ]
             )
             yield pa.array(out, kind)
+        give_back()
 
     return F.arrow_udf(hits, _HITS).asNondeterministic()
 

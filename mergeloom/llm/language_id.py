@@ -35,6 +35,8 @@ FULL_EVIDENCE = 100.0
 LEAST_SCORE = 0.5
 UNKNOWN = "und"
 _AT_ONCE = 1 << 19
+#: Bytes of text whose n-grams are held at once.
+_SLICE = 1 << 18
 _letters: list[np.ndarray] = []
 
 
@@ -87,7 +89,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         langs, texts = batch.column(0).to_pylist(), plain(batch.column(1))
         done = 0
-        for part in slices(texts):
+        for part in slices(texts, _SLICE):
             here = langs[done : done + len(part)]
             done += len(part)
             names = sorted(set(here))
@@ -151,7 +153,7 @@ def predictor(docs: DataFrame, model: Model) -> Callable[[Column], Column]:
         model = shared.value
         for texts in batches:
             langs, scores = [], []
-            for part in slices(plain(texts)):
+            for part in slices(plain(texts), _SLICE):
                 if not model.langs:
                     best, value = np.full(len(part), -1), np.zeros(len(part))
                 else:

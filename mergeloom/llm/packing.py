@@ -39,16 +39,16 @@ CUT_PENALTY = 24
 END_ID = 1
 #: The stream is cut at a document's end once it holds this many tokens.
 STREAM_TOKENS = 1 << 22
+#: Pieces that leave a task at once, of 8 kB of ids each at most.
+PIECES_AT_ONCE = 128
 SCHEMA = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
     "sequence_id bigint, offset bigint, ids binary"
 )
 
 
-def cut_places(documents: list[np.ndarray], encoder: Encoder) -> tuple[np.ndarray, np.ndarray]:
-    """Places where a window may end, ascending, and their penalties."""
-    ends = np.cumsum([len(d) for d in documents])
-    stream = np.concatenate(documents)
+def cut_places(stream: np.ndarray, ends: np.ndarray, encoder: Encoder) -> tuple[np.ndarray, np.ndarray]:
+    """Places where a window may end, ascending, and their penalties; documents end at `ends`."""
     now, after = stream[:-1], stream[1:]
     sentences = np.flatnonzero(encoder.ends_line[now] | (encoder.ends_sentence[now] & encoder.starts_space[after])) + 1
     grid = np.arange(GRID, ends[-1], GRID)
@@ -82,27 +82,29 @@ def best_cuts(places: list[int], costs: list[int], limit: int) -> list[int]:
 
 
 def _pieces(ids: list[int | None], documents: list[np.ndarray], encoder: Encoder, first: int) -> tuple[pa.RecordBatch, int]:
-    places, costs = cut_places(documents, encoder)
-    cuts = best_cuts(places.tolist(), costs.tolist(), SEQUENCE)
+    """The pieces of a stream of documents, whose list is emptied, and the next window's number."""
     sizes = np.array([len(d) for d in documents])
     ends = np.cumsum(sizes)
     starts = ends - sizes
-    stream = np.concatenate(documents).astype("<u4")
+    stream = np.concatenate(documents).astype(np.int32, copy=False).view("<u4")
+    documents.clear()
+    places, costs = cut_places(stream, ends, encoder)
+    cuts = best_cuts(places.tolist(), costs.tolist(), SEQUENCE)
     edges = np.unique(np.concatenate([[0], ends, cuts]))
     a, b = edges[:-1], edges[1:]
     doc = np.searchsorted(ends, a, "right")
     window = np.searchsorted(cuts, a, "right")
     opened = np.concatenate([[0], cuts])[window]
-    raw = [stream[x:y].tobytes() for x, y in zip(a, b)]
+    raw = pa.Array.from_buffers(pa.binary(), len(a), [None, pa.py_buffer((4 * edges).astype(np.int32)), pa.py_buffer(stream)])
     columns = [
         pa.array([ids[d] for d in doc], pa.int64()),
         pa.array(a - starts[doc], pa.int64()),
         pa.array(b - a, pa.int64()),
-        pa.array([zlib.crc32(r) for r in raw], pa.int64()),
+        pa.array([zlib.crc32(stream[x:y]) for x, y in zip(a, b)], pa.int64()),
         pa.array(sizes[doc], pa.int64()),
         pa.array(first + window, pa.int64()),
         pa.array(a - opened, pa.int64()),
-        pa.array(raw, pa.binary()),
+        raw,
     ]
     return pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]), first + len(cuts)
 
@@ -116,18 +118,24 @@ def pack(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
         encoder = Encoder.cached(path)
         number = TaskContext.get().partitionId() << 40
         ids, documents, size = [], [], 0
+
+        def cut() -> Iterator[pa.RecordBatch]:
+            nonlocal ids, size, number
+            out, number = _pieces(ids, documents, encoder, number)
+            ids, size = [], 0
+            for first in range(0, out.num_rows, PIECES_AT_ONCE):
+                yield out.slice(first, PIECES_AT_ONCE)
+
         for batch in batches:
             for name, text in zip(batch.column(0), batch.column(1)):
                 ids.append(name.as_py())
                 documents.append(np.append(encoder.encode(text.as_py()), np.int32(END_ID)))
                 size += len(documents[-1])
                 if size >= STREAM_TOKENS:
-                    out, number = _pieces(ids, documents, encoder, number)
-                    yield out
-                    ids, documents, size = [], [], 0
+                    yield from cut()
+        batch = None
         if documents:
-            yield _pieces(ids, documents, encoder, number)[0]
-        ids, documents = [], []
+            yield from cut()
         give_back()
 
     rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), text_of(docs).alias("text"))
