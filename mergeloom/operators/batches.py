@@ -30,7 +30,8 @@ def batch_rows(pieces: DataFrame, lengths: DataFrame, B: int, T: int, world: int
     """(split, shard_id, batch_idx, rank, row, x, y) with |x| = |y| = T.
 
     Row g of a shard covers its tokens [gT, gT+T], so every piece knows which
-    rows it feeds. Parts of a row meet in a group of at most T+1 tokens.
+    rows it feeds. A row inside one piece stays where it is; parts of the others meet in a
+    group of at most T+1 tokens. `pieces` is read twice and should be a stored table.
     A first batch the shard is too short for yields only its complete rows.
     """
     size = F.size("tokens")
@@ -40,16 +41,18 @@ def batch_rows(pieces: DataFrame, lengths: DataFrame, B: int, T: int, world: int
     begin = F.greatest(F.col("start"), F.col("g") * T)
     end = F.least(F.col("start") + size, F.col("g") * T + T + 1)
     part = F.slice("tokens", (begin - F.col("start") + 1).cast("int"), (end - begin).cast("int"))
-    parts = fed.select("split", "shard_id", "g", begin.alias("at"), part.alias("part"))
-    rows = (
+    full = end - begin == T + 1
+    parts = fed.where(~full).select("split", "shard_id", "g", begin.alias("at"), part.alias("part"))
+    met = (
         parts.groupBy("split", "shard_id", "g")
         .agg(
             F.array_sort(F.collect_list(F.struct("at", "part"))).alias("p"),
             F.sum(F.size("part")).alias("n"),
         )
         .filter(F.col("n") == T + 1)
+        .select("split", "shard_id", "g", F.flatten(F.transform("p", lambda p: p["part"])).alias("w"))
     )
-    window = F.flatten(F.transform("p", lambda p: p["part"]))
+    rows = fed.where(full).select("split", "shard_id", "g", part.alias("w")).unionByName(met)
     per_stride = B * world
     placed = rows.select(
         "split",
@@ -57,7 +60,7 @@ def batch_rows(pieces: DataFrame, lengths: DataFrame, B: int, T: int, world: int
         F.expr(f"g div {per_stride}").alias("batch_idx"),
         F.expr(f"(g % {per_stride}) div {B}").cast("int").alias("rank"),
         F.expr(f"g % {B}").cast("int").alias("row"),
-        window.alias("w"),
+        "w",
     )
     served = shard_batches(lengths, B, T, world).select("split", "shard_id", "rank", "n_batches")
     return (
