@@ -19,7 +19,6 @@ ordinary lines trains against a fixed few. Extra columns are ignored.
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -69,7 +68,7 @@ _ORDINARY = ["The first part of the text.", "A work of that year.", "It is of th
 
 
 def tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(r"[a-z0-9]+(?:[.-][a-z0-9]+)*"), F.lit(0))
+    return F.regexp_extract_all(F.lower(text), F.lit(r"[a-z0-9]++(?:[.-][a-z0-9]++)*+"), F.lit(0))
 
 
 def runs(words: Column) -> Column:
@@ -80,6 +79,14 @@ def runs(words: Column) -> Column:
     return F.when(F.size(words) < 3, F.array(F.array_join(words, " "))).otherwise(F.array_distinct(F.array_compact(triples)))
 
 
+def has_run(words: Column, listed: list[str]) -> Column:
+    """Whether one of `runs(words)` is `listed`; only those that end like one are made."""
+    ends = sorted({run.split(" ")[-1] for run in listed})
+    run = lambda w, i: F.concat_ws(" ", F.get(words, i - 2), F.get(words, i - 1), w)
+    met = F.exists(F.transform(words, lambda w, i: F.when((i > 1) & w.isin(ends), run(w, i)).otherwise("")), lambda r: (r != "") & r.isin(listed))
+    return F.when(F.size(words) < 3, F.array_join(words, " ").isin(listed)).otherwise(met)
+
+
 def _notices(spark: SparkSession) -> DataFrame:
     rows = [F.struct(F.lit(family).alias("family"), F.lit(text).alias("line")) for family, texts in sorted(NOTICES.items()) for text in texts]
     return spark.range(1).select(F.explode(F.array(*rows)).alias("n")).select("n.*")
@@ -107,26 +114,27 @@ def variants(notices: DataFrame) -> DataFrame:
     )
 
 
-def _worded(rows: DataFrame) -> DataFrame:
-    """Adds `words` and `terms`, words and pairs of words, of column `line`."""
-    pairs = NGram(n=2, inputCol="words", outputCol="pairs")
-    worded = pairs.transform(rows.withColumn("words", tokens(F.col("line"))))
-    return worded.withColumn("terms", F.concat("words", "pairs")).drop("pairs")
-
-
 def known_terms(spark: SparkSession) -> list[str]:
     """The words and pairs of all notices and their variants: a fixed list, whatever the corpus."""
-    rows = _worded(variants(_notices(spark))).select(F.explode("terms").alias("term")).distinct()
-    return sorted(r.term for r in rows.collect())
+    worded = variants(_notices(spark)).withColumn("words", tokens(F.col("line")))
+    paired = NGram(n=2, inputCol="words", outputCol="pairs").transform(worded)
+    return sorted(r.term for r in paired.select(F.explode(F.concat("words", "pairs")).alias("term")).distinct().collect())
 
 
 def termed(rows: DataFrame, known: list[str]) -> DataFrame:
-    """Adds `words` of column `line`, and `terms`: those `known` ones that it has, in the order of `known`, and a
-    term for each of `OTHERS` that its number of other distinct words reaches."""
-    listed = F.from_json(F.lit(json.dumps(known)), "array<string>")
-    met = _worded(rows).withColumn("terms", F.array_intersect(listed, F.col("terms")))
-    others = F.size(F.array_distinct("words")) - F.size(F.filter("terms", lambda t: ~F.contains(t, F.lit(" "))))
-    counted = met.withColumn("others", others)
+    """Adds `words` of column `line`, and `terms`: those `known` ones that it has, sorted, and a
+    term for each of `OTHERS` that its number of other distinct words reaches.
+
+    The words of a pair in `known` are in `known` themselves, so pairs are only made of such."""
+    pairs = [t for t in known if " " in t]
+    alone = [t for t in known if " " not in t]
+    worded = rows.withColumn("words", tokens(F.col("line")))
+    # Each word looked up in a set, null if unknown; the number of different words.
+    marked = worded.withColumn("marked", F.transform("words", lambda w: F.when(w.isin(alone), w))).withColumn("others", F.size(F.array_distinct("words")))
+    joined = F.transform("marked", lambda w, i: F.when(w.isNotNull(), F.concat(F.get("marked", i - 1), F.lit(" "), w)))
+    terms = F.concat(F.array_compact("marked"), F.filter(joined, lambda p: p.isin(pairs)))
+    met = marked.withColumn("terms", F.sort_array(F.array_distinct(terms))).drop("marked")
+    counted = met.withColumn("others", F.col("others") - F.size(F.filter("terms", lambda t: ~F.contains(t, F.lit(" ")))))
     levels = [F.when(F.col("others") >= n, F.lit(f"~{n}")) for n in OTHERS]
     return counted.withColumn("terms", F.concat("terms", F.array_compact(F.array(*levels)))).drop("others")
 
@@ -152,8 +160,7 @@ def train(docs: DataFrame) -> Classifier:
     rows = termed(lines(docs).select("line"), known)
     # A run of three words that a notice has brings two of its pairs; runs are only made where that can be.
     pair = F.exists("terms", lambda t: F.contains(t, F.lit(" ")))
-    listed = F.from_json(F.lit(json.dumps(sorted(notice_runs))), "array<string>")
-    touched = F.when(pair | (F.size("words") < 3), F.arrays_overlap(runs(F.col("words")), listed)).otherwise(F.lit(False))
+    touched = F.when(pair | (F.size("words") < 3), has_run(F.col("words"), notice_runs)).otherwise(F.lit(False))
     fixed = spark.range(1).select(F.explode(F.array(*map(F.lit, _ORDINARY))).alias("line"))
     # Counted by set of terms; filtered after that, or else the filter would split the lines into words once more.
     sets = rows.select("terms", (~touched).cast("bigint").alias("n")).groupBy("terms").agg(F.sum("n").alias("n"))
