@@ -2,8 +2,7 @@
 
 `encode_documents` is a narrow operator: Spark's regex makes the chunks, each
 Arrow batch encodes its distinct chunks once, and no row leaves its partition.
-`encode_by_dictionary` is the join form for when a chunk dictionary is already
-there. `encode_column` is the pure expression form, for few merges.
+`encode_by_dictionary` is the join form: distinct chunks are encoded once and joined with where they stand. `encode_column` is the pure expression form, for few merges.
 """
 
 from __future__ import annotations
@@ -14,15 +13,17 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import ragged
 from ..functions.codes import apply_merges, byte_codes, code_ids, lossy_text
-from ..functions.ragged import SLICE_BYTES, MergeRanks, byte_lengths, encode_lists, encode_strings, to_list_array, weight_cuts
+from ..functions.ragged import (
+    SLICE_BYTES, ChunkBlock, IdTable, MergeRanks, binary_rows, byte_lengths, encode_lists, encode_strings, gathered_rows, list_rows, packed_ids,
+    read_varints, take_rows, to_list_array, weight_cuts,
+)
 from ..functions.text import chunks, chunks_with_specials, special_alternation
-from ..session import cut_lineage
-from .dictionary import exploded_chunks
+from ..session import cut_lineage, freed_shuffles
 from .joins import join_bounded
 from .tokenizer import FIRST_MERGE_ID, Tokenizer
 
@@ -31,8 +32,11 @@ cloudpickle.register_pickle_by_value(ragged)
 
 # Fixed value: token files hold unsigned 16-bit ids.
 MAX_TOKEN = 1 << 16
-# A chunk above this share of all occurrences is hot; fewer than 1/share can be.
-_HOT_SHARE = 1 / 2_000
+# Bytes of text whose documents share a list of chunks, about.
+_BLOCK_BYTES = 64 << 20
+# Chunks whose ids are packed or handed on at once, and bytes of chunk numbers that are dealt out at once.
+_PACK_ROWS = 1 << 18
+_DEAL_BYTES = 1 << 18
 
 
 def _with_field(schema: T.StructType, drop: str, *fields: T.StructField) -> T.StructType:
@@ -104,34 +108,156 @@ def encode_chunks(df: DataFrame, tokenizers: list[Tokenizer], chunk: str = "chun
     return df.mapInArrow(encode, schema)
 
 
+def coded_blocks(docs: DataFrame, pattern: str) -> DataFrame:
+    """Chunk occurrences of (doc_id, text), the text split once: (block, doc_id, codes, code, chunk).
+
+    A block is some documents that one task reads, about `_BLOCK_BYTES` of text. Its distinct chunks are a row
+    each (code, chunk); a document's row has the codes of its chunks in order, as packed numbers.
+    """
+    doc_id = docs.schema["doc_id"]
+    listed = docs.select("doc_id", chunks("text", pattern).alias("chunks"))
+    schema = T.StructType(
+        [
+            T.StructField("block", T.LongType()), T.StructField("doc_id", doc_id.dataType), T.StructField("codes", T.BinaryType()),
+            T.StructField("code", T.IntegerType()), T.StructField("chunk", T.StringType()),
+        ]
+    )
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, block = TaskContext.get().partitionId() << 32, ChunkBlock()
+        for batch in batches:
+            ids = batch.column("doc_id")
+            # Copied: what is kept of a batch would keep all of it.
+            block.add(batch.column("chunks"), ids.take(pa.array(np.arange(len(ids)))))
+            if block.bytes >= _BLOCK_BYTES:
+                yield from rows(number, block)
+                number, block = number + 1, ChunkBlock()
+        if block.parts:
+            yield from rows(number, block)
+
+    def rows(number: int, block: ChunkBlock) -> Iterator[pa.RecordBatch]:
+        found, parts = block.finish()
+
+        def batch(n: int, **own: pa.Array) -> pa.RecordBatch:
+            own["block"] = pa.array(np.full(n, number, np.int64))
+            return pa.RecordBatch.from_arrays([own[f.name] if f.name in own else pa.nulls(n, kinds[f.name]) for f in schema], names=schema.names)
+
+        kinds = {"doc_id": parts[0][1][0].type, "codes": pa.binary(), "code": pa.int32(), "chunk": pa.string()}
+        for a in range(0, len(found), _PACK_ROWS):
+            some = found.slice(a, _PACK_ROWS)
+            yield batch(len(some), code=pa.array(np.arange(a, a + len(some), dtype=np.int32)), chunk=some)
+        for codes, (ids,) in parts:
+            for first, some in codes:
+                yield batch(len(some), doc_id=ids.slice(first, len(some)), codes=some)
+
+    return listed.mapInArrow(coded, schema)
+
+
+def _packed(met: DataFrame) -> DataFrame:
+    """(block, data): rows (block, code, tokens) in packs of one block, for `IdTable`."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            number, code = (batch.column(c).to_numpy(zero_copy_only=False).copy() for c in ("block", "code"))
+            values, lengths = list_rows(batch.column("tokens"))
+            held.append((number, code, values.copy(), lengths))
+            n += len(number)
+            if n >= _PACK_ROWS:
+                yield packs(held)
+                held, n = [], 0
+        if n:
+            yield packs(held)
+
+    def packs(held) -> pa.RecordBatch:
+        number, code, values, lengths = (np.concatenate(c) for c in zip(*held))
+        order = np.lexsort((code, number))
+        number, code = number[order], code[order]
+        values, lengths = take_rows(values, lengths, order)
+        cuts = np.flatnonzero(np.diff(number, prepend=number[0] - 1))
+        ends, own = np.r_[0, np.cumsum(lengths)], []
+        for a, b in zip(cuts, np.r_[cuts[1:], len(number)]):
+            own.append(packed_ids(code[a:b], values[ends[a] : ends[b]], lengths[a:b]))
+        return pa.RecordBatch.from_arrays([pa.array(number[cuts]), pa.array(own, pa.binary())], names=["block", "data"])
+
+    return met.select("block", "code", "tokens").mapInArrow(pack, "block bigint, data binary")
+
+
+def _dealt_out(pieces: DataFrame, packs: DataFrame, by_chunk: bool = False) -> DataFrame:
+    """(doc_id, tokens) of documents (block, doc_id, codes) that meet their block's ids; `by_chunk`, a list for each chunk.
+
+    A task has a block's packs before its documents, and passes on some tokens at a time.
+    """
+    kind = T.ArrayType(_TOKENS.dataType) if by_chunk else _TOKENS.dataType
+    schema = T.StructType([pieces.schema["doc_id"], T.StructField("tokens", kind)])
+    nothing = F.lit(None).cast(pieces.schema["doc_id"].dataType)
+    both = packs.select("block", F.lit(0).alias("kind"), nothing.alias("doc_id"), "data").unionByName(
+        pieces.select("block", F.lit(1).alias("kind"), "doc_id", F.col("codes").alias("data"))
+    )
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, table = None, IdTable()
+        for batch in batches:
+            number, kind = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("block", "kind"))
+            cuts = np.flatnonzero((np.diff(number, prepend=-1) != 0) | (np.diff(kind, prepend=-1) != 0))
+            for a, b in zip(cuts, np.r_[cuts[1:], len(number)]):
+                if number[a] != current:
+                    current, table = number[a], IdTable()
+                raw, sizes = binary_rows(batch.column("data").slice(a, b - a))
+                if kind[a]:
+                    yield from told(table, raw, sizes, batch.column("doc_id").slice(a, b - a))
+                else:
+                    for part in np.split(raw, np.cumsum(sizes)[:-1]):
+                        table.add(part)
+
+    def told(table: IdTable, raw: np.ndarray, sizes: np.ndarray, ids: pa.Array) -> Iterator[pa.RecordBatch]:
+        values, lengths, starts = table.rows()
+        ends = np.cumsum(sizes)
+        for a, b in itertools.pairwise(weight_cuts(sizes, _DEAL_BYTES)):
+            some = raw[ends[a] - sizes[a] : ends[b - 1]]
+            codes = read_varints(some)
+            # Chunks of a document: its bytes that end a number.
+            seen = np.r_[0, np.cumsum(some < 128)]
+            last = seen[ends[a:b] - ends[a] + sizes[a]]
+            n_chunks = np.diff(last, prepend=0)
+            tokens, n_tokens = gathered_rows(values, lengths, codes, starts)
+            if by_chunk:
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, last].astype(np.int32)), to_list_array(tokens, n_tokens))
+            else:
+                lists = to_list_array(tokens, np.diff(np.r_[0, np.cumsum(n_tokens)][last], prepend=0))
+            yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), lists], names=schema.names)
+
+    return both.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(deal, schema)
+
+
 def encode_by_dictionary(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     """(doc_id, tokens) by joining chunk occurrences with encoded chunks.
 
-    The text is split once, into stored occurrences. Hot chunks, at most 2,000 by their share of
-    all occurrences (and no chunk that occurs once), are broadcast; the rest join by shuffle with no key above that share.
-    Special tokens are ordinary text.
+    The text is split once, into stored blocks of documents with their distinct chunks. These, a row a block and
+    chunk, are joined with the dictionary, which is broadcast if it is small, so a frequent chunk has no more rows than there are blocks;
+    documents move as packed numbers, once, to meet their block's ids.
+    Special tokens are ordinary text. Rows of one doc_id share the tokens of all of them in the order of chunk number and ids; a null one has none.
     """
-    rows = cut_lineage(exploded_chunks(docs.select("doc_id", "text"), tokenizer.pattern), "chunk-occurrences")
-    counted = rows.groupBy("chunk").agg(F.count(F.lit(1)).alias("cnt"))
-    coded = cut_lineage(encode_chunks(counted, [tokenizer]).select("chunk", "cnt", "tokens"), "chunk-codes")
-    total = coded.agg(F.sum("cnt")).first()[0] or 0
-    floor = max(1, int(total * _HOT_SHARE))
-    hot = coded.filter(F.col("cnt") > floor).select("chunk", F.col("tokens").alias("hot"))
-    cold = coded.filter(F.col("cnt") <= floor).select("chunk", F.col("tokens").alias("cold"))
-    looked = join_bounded(rows, hot, "chunk", "left")
-    # Rows that have their ids take part with keys that match nothing, spread by document.
-    spread = F.concat(F.lit("\x00"), F.col("doc_id").cast("string"))
-    keyed = looked.withColumn("rare", F.when(F.col("hot").isNull(), F.col("chunk")).otherwise(spread))
-    rest = cold.select(F.col("chunk").alias("rare"), "cold")
-    met = keyed.join(rest, "rare", "left").withColumn("ids", F.coalesce("hot", "cold"))
-    pieces = met.groupBy("doc_id").agg(
-        F.array_sort(F.collect_list(F.struct("chunk_idx", "ids"))).alias("p")
-    )
-    tokens = pieces.select("doc_id", F.flatten(F.transform("p", lambda x: x["ids"])).alias("tokens"))
-    empty = F.array().cast("array<int>")
-    return docs.select("doc_id").join(tokens, "doc_id", "left").select(
-        "doc_id", F.coalesce("tokens", empty).alias("tokens")
+    with freed_shuffles(docs.sparkSession):
+        repeated = docs.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        repeated = cut_lineage(repeated, "repeated-documents")
+        blocks = cut_lineage(coded_blocks(docs.select("doc_id", "text"), tokenizer.pattern), "chunk-occurrences", "zstd")
+        words = blocks.filter(F.col("chunk").isNotNull()).select("block", "code", "chunk")
+        coded = encode_chunks(words.select("chunk").distinct(), [tokenizer]).select("chunk", "tokens")
+        packs = cut_lineage(_packed(join_bounded(words, coded, "chunk")), "chunk-codes", "zstd")
+    pieces = blocks.filter(F.col("codes").isNotNull()).select("block", "doc_id", "codes")
+    tokens = F.when(F.col("doc_id").isNull(), F.array().cast("array<int>")).otherwise(F.col("tokens")).alias("tokens")
+    if repeated.isEmpty():
+        return _dealt_out(pieces, packs).select("doc_id", tokens)
+    flagged = join_bounded(pieces, repeated, "doc_id", "left")
+    single = _dealt_out(flagged.filter(F.col("n").isNull()), packs).select("doc_id", tokens)
+    lists = _dealt_out(flagged.filter(F.col("n").isNotNull()), packs, by_chunk=True)
+    placed = F.transform("tokens", lambda ids, i: F.struct(i.alias("chunk_idx"), ids.alias("ids")))
+    merged = lists.groupBy("doc_id").agg(
+        F.array_sort(F.flatten(F.collect_list(placed))).alias("p"), F.count(F.lit(1)).cast("int").alias("n")
     )
+    shared = merged.select("doc_id", "n", F.flatten(F.transform("p", lambda x: x["ids"])).alias("tokens"))
+    return single.unionByName(shared.select("doc_id", F.explode(F.array_repeat("tokens", F.col("n"))).alias("tokens")))
 
 
 def encode_column(tokenizer: Tokenizer, text: Column | str = "text", allowed_special="none_raise") -> Column:
