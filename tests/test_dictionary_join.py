@@ -6,10 +6,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from mergeloom.operators import codec
+from mergeloom.operators import codec, dictionary
 from mergeloom.operators.tokenizer import Tokenizer
 from mergeloom.plans import catalog
 from mergeloom.session import freed_shuffles, scratch
+from mergeloom.sources import corpus
 
 PLAIN = Tokenizer("plain", ())
 MERGED = Tokenizer("merged", ((32, 119), (48, 49), (256, 48), (256, 257)))
@@ -74,3 +75,12 @@ def test_training_leaves_no_tables(spark, tmp_path):
         with freed_shuffles(spark):
             assert spark.conf.get(key) == "true"
     assert spark.conf.get(key, None) == before
+
+
+@pytest.mark.parametrize("first", [0, -(1 << 31) + 1, (1 << 31) - 2, 1 << 31, -(1 << 62)])
+def test_places_of_any_id(spark, first):
+    texts = ["  a b\n", " \n ", "b\n\n c", None, "a\tb ", ""]
+    docs = _docs(spark, [(first + i, t) for i, t in enumerate(texts)])
+    key = lambda r: (r["chunk"], r["cnt"], r["first_doc"], r["first_idx"])
+    got = sorted(map(key, corpus.joined_dictionary(docs).collect()))
+    assert got == sorted(map(key, dictionary.chunk_dictionary(corpus.with_separators(docs.filter("text is not null"))).collect()))
